@@ -86,15 +86,23 @@ def malformed_report(bronze: DataFrame, specs: Sequence[TableSpec]) -> DataFrame
 
     All three end as a sentinel row in silver, so they are told apart here.
     """
-    parts = []
-    for spec in specs:
-        if spec.array is None:
-            continue
-        column = F.col(f"`{spec.array.column}`")
-        parts.append(bronze.agg(
-            F.lit(spec.array.column).alias("column_name"),
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(column.isNull() | (F.trim(column) == "")).alias("blank_rows"),
-            F.count_if(is_malformed(column, spec.array.element)).alias("malformed_rows"),
-        ))
-    return reduce(DataFrame.unionByName, parts)
+    arrays = [spec.array for spec in specs if spec.array is not None]
+    measures = []
+    for i, array in enumerate(arrays):
+        column = F.col(f"`{array.column}`")
+        blank = column.isNull() | (F.trim(column) == "")
+        measures += [
+            F.count_if(blank).alias(f"_blank{i}"),
+            F.count_if(is_malformed(column, array.element)).alias(f"_malformed{i}"),
+        ]
+    counts = bronze.agg(F.count(F.lit(1)).alias("rows"), *measures)
+    found = [
+        F.struct(
+            F.lit(array.column).alias("column_name"),
+            F.col("rows"),
+            F.col(f"_blank{i}").alias("blank_rows"),
+            F.col(f"_malformed{i}").alias("malformed_rows"),
+        )
+        for i, array in enumerate(arrays)
+    ]
+    return counts.select(F.explode(F.array(*found)).alias("f")).select("f.*")
