@@ -61,26 +61,32 @@ def stage(
     rows = with_seq(source, seq)
     columns = rows.columns
 
+    staged = newest_of_parts(rows, keys, SEQ, order_by, null_safe).withColumn(
+        "_known", F.lit(True)
+    )
+    if not null_safe:
+        unknown = rows.where(any_unknown(keys)).select(
+            *columns, F.lit(1).cast("bigint").alias("_rows"),
+            F.lit(0).cast("bigint").alias("_extra"), F.lit(False).alias("_known"),
+        )
+        staged = staged.unionByName(unknown)
     folder = new_folder(spark, "newest")
     counts = Observation()
-    (newest_of_parts(rows, keys, SEQ, order_by, null_safe)
-     .observe(counts, F.sum("_rows").alias("rows"), F.max("_extra").alias("extra"))
+    (staged
+     .observe(
+         counts,
+         F.sum("_rows").alias("rows"),
+         F.max("_extra").alias("extra"),
+         F.count_if(~F.col("_known")).alias("unknown"),
+     )
      .drop("_rows", "_extra")
      .write.parquet(folder))
     seen = counts.get
-    updates = spark.read.schema(rows.schema).parquet(folder)
+    written = spark.read.schema(staged.drop("_rows", "_extra").schema).parquet(folder)
+    updates = written.where("_known").drop("_known")
     batch = StagedBatch(spark, keys, updates, updates, None, seen["rows"] or 0, [folder])
-
-    if not null_safe:
-        unknown_folder = new_folder(spark, "unknown")
-        unknown_count = Observation()
-        (rows.where(any_unknown(keys))
-         .observe(unknown_count, F.count(F.lit(1)).alias("rows"))
-         .write.parquet(unknown_folder))
-        batch.folders.append(unknown_folder)
-        if unknown_count.get["rows"]:
-            batch.unknown = spark.read.schema(rows.schema).parquet(unknown_folder)
-            batch.rows_in += unknown_count.get["rows"]
+    if seen["unknown"]:
+        batch.unknown = written.where("NOT _known").drop("_known")
 
     if on_duplicate == "error" and (seen["extra"] or 0) > 0:
         if null_safe:
