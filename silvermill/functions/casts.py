@@ -8,8 +8,14 @@ _WHOLE = ("tinyint", "smallint", "int", "integer", "bigint", "long")
 
 
 def lenient_cast(column: Column, source: T.DataType, target: str) -> Column:
-    """Cast without failing. Decimal text such as '1.7' is cut to a whole number."""
-    if isinstance(source, T.StringType) and target.lower() in _WHOLE:
+    """Cast without failing. Decimal text such as '1.7' is cut to a whole number.
+
+    A cast that cannot fail stays a plain one, which filters can see through.
+    """
+    target = target.lower()
+    if target == "string" or source.simpleString() == target:
+        return column.cast(target)
+    if isinstance(source, T.StringType) and target in _WHOLE:
         whole = F.regexp_extract(column, r"^\s*([+-]?\d+)(\.\d*)?\s*$", 1)
         return whole.try_cast(target)
     return column.try_cast(target)

@@ -27,13 +27,15 @@ def normalize_json_array(
 
     A parent whose array is empty, missing or unreadable keeps one row with the
     sentinel, so no parent is lost. Nothing is shuffled: each row of `df` is
-    handled where it is read, and only the parents and `array` are read.
+    handled where it is read, only the parents and `array` are read, and only
+    the wanted fields are parsed.
     """
     sentinels = sentinels or {}
+    wanted = {field: element[field] for field in fields}
     exploded = df.select(
         *[typed_column(df, spec) for spec in parents],
         *carry,
-        F.explode_outer(parse_array(F.col(f"`{array}`"), element)).alias("_item"),
+        F.explode_outer(parse_array(F.col(f"`{array}`"), wanted)).alias("_item"),
     )
     parent_names = [spec.name for spec in parents]
     return exploded.select(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from silvermill.functions.checks import all_known
-from silvermill.operators.upsert import newest_with_counts, updated_rows
+from silvermill.operators.upsert import matching_rows, newest_with_counts, updated_rows
 
 _NO_PART = -1
 
@@ -26,18 +26,16 @@ def newest_of_parts(
     keys: Sequence[str],
     seq: str,
     order_by: Sequence[str] = (),
-    null_safe: bool = False,
 ) -> DataFrame:
     """The newest row per key, `_rows` read for it, and `_extra`: how many of
-    these came from a part that already had the key.
+    these came from a part that already had the key. NULL is grouped as a key.
 
     One shuffle of partly aggregated rows answers both questions. The set
     inside is one number per part and key, never more than there are parts.
     """
     rest = [c for c in df.columns if c not in keys]
-    rows = df if null_safe else df.where(all_known(keys))
     part = F.coalesce(F.col(seq), F.lit(_NO_PART))
-    grouped = rows.groupBy(*keys).agg(
+    grouped = df.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.struct(seq, *order_by)).alias("_row"),
         F.count(F.lit(1)).alias("_rows"),
         F.size(F.collect_set(part)).alias("_parts"),
@@ -68,32 +66,39 @@ def part_counts(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     )
 
 
-def settle_parts(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+def settle_parts(
+    df: DataFrame, keys: Sequence[str], seq: str, null_safe: bool = False
+) -> DataFrame:
     """What the parts leave behind for keys that the table does not have yet.
 
     The first part that has a key inserts all its rows, even several. Later
     parts update each of them, so they must have the key once.
     """
-    known = df.where(all_known(keys))
+    known = df if null_safe else df.where(all_known(keys))
     first = part_counts(known, keys, seq).select(*keys, "_first")
     part = F.coalesce(F.col(seq), F.lit(_NO_PART))
     marked = updated_rows(
-        known.withColumn("_first", F.lit(None).cast("bigint")), first, keys
+        known.withColumn("_first", F.lit(None).cast("bigint")), first, keys, null_safe
     )
     firsts = marked.where(part == F.col("_first")).drop("_first")
     later = marked.where(part > F.col("_first")).drop("_first")
-    return updated_rows(firsts, newest_with_counts(later, keys, [seq]).drop("_rows"), keys)
+    newest = newest_with_counts(later, keys, [seq], known_only=not null_safe)
+    return updated_rows(firsts, newest.drop("_rows"), keys, null_safe)
 
 
 def check_parts(
-    df: DataFrame, keys: Sequence[str], seq: str, target: DataFrame | None
+    df: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    target: DataFrame | None,
+    null_safe: bool = False,
 ) -> None:
     """Fail when a key occurs several times in a part that would update it."""
-    counts = part_counts(df.where(all_known(keys)), keys, seq)
+    counts = part_counts(df if null_safe else df.where(all_known(keys)), keys, seq)
     report(counts.where("_late_repeat"), keys)
     if target is not None:
         repeated = counts.where("_repeated").select(*keys)
-        report(target.select(*keys).join(repeated, list(keys), "left_semi"), keys)
+        report(matching_rows(target.select(*keys), repeated, keys, null_safe), keys)
 
 
 def report(offending: DataFrame, keys: Sequence[str]) -> None:

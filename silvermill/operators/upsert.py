@@ -76,6 +76,14 @@ def updated_rows(
     ])
 
 
+def matching_rows(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool = False
+) -> DataFrame:
+    """Rows of `df` whose key is also in `other`."""
+    left, right = _with_spread(df, keys), _right_side(other, keys)
+    return left.join(right, _match(left, right, keys, null_safe), "left_semi").drop(_SPREAD)
+
+
 def unmatched_rows(
     target: DataFrame, inserts: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
@@ -85,10 +93,8 @@ def unmatched_rows(
     go on. When `inserts` is small enough for Spark to broadcast, `target` is
     not shuffled.
     """
-    left = _with_spread(target.select(*keys), keys)
-    wanted = _right_side(inserts, keys)
-    seen = left.join(wanted, _match(left, wanted, keys, null_safe), "left_semi")
-    seen = _right_side(seen.select(*keys).distinct(), keys)
+    seen = matching_rows(target.select(*keys), inserts, keys, null_safe).distinct()
+    seen = _right_side(seen, keys)
     rows = _with_spread(inserts, keys)
     return rows.join(seen, _match(rows, seen, keys, null_safe), "left_anti").drop(_SPREAD)
 

@@ -8,8 +8,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from silvermill.operators.rows import append_union
 from silvermill.plans.catalog import CREDITS_TABLES, MOVIES_TABLES
-from silvermill.sources.bronze import SEQ, read_parts
+from silvermill.sources.bronze import SEQ, read_each_part, read_parts
 from silvermill.spec import TableSpec
 from silvermill.tables.silver import SilverTable
 
@@ -25,6 +26,24 @@ def silver_table(
     )
 
 
+def table_rows(
+    spark: SparkSession,
+    spec: TableSpec,
+    bronze_root: str,
+    days: Sequence[str | date] | None,
+    mixed_types: bool = False,
+) -> DataFrame | None:
+    """What the parts of some days hold for one table, or None without parts."""
+    if mixed_types:
+        frames = read_each_part(spark, bronze_root, spec.source, days)
+    else:
+        frame = read_parts(spark, bronze_root, spec.source, days)
+        frames = [] if frame is None else [frame]
+    if not frames:
+        return None
+    return append_union(*[spec.transform(frame, carry=[SEQ]) for frame in frames])
+
+
 def run_pipeline(
     spark: SparkSession,
     specs: Sequence[TableSpec],
@@ -35,6 +54,7 @@ def run_pipeline(
     on_duplicate: str = "error",
     order_by: Mapping[str, Sequence[str]] | None = None,
     bootstrap: str = "if_missing",
+    mixed_types: bool = False,
     replace_sentinel: bool = False,
     batch: str | None = None,
     open_table: Callable[..., SilverTable] = silver_table,
@@ -44,17 +64,18 @@ def run_pipeline(
     Each table scans only its own columns of the bronze parts, so six tables
     from one source read it about once in all, and nothing needs caching.
     `order_by` names, per table, the columns that decide between rows of one
-    part with the same key when `on_duplicate` is "latest".
+    part with the same key when `on_duplicate` is "latest". `mixed_types` is
+    for parts whose Parquet types differ: each is then read with its own.
     """
     days = None if days is None else list(days)
     report = []
     for spec in specs:
         started = time.monotonic()
-        frame = read_parts(spark, bronze_root, spec.source, days)
+        rows = table_rows(spark, spec, bronze_root, days, mixed_types)
         rows_in = 0
-        if frame is not None:
+        if rows is not None:
             rows_in = open_table(spark, silver_root, spec, slices).apply(
-                spec.transform(frame, carry=[SEQ]),
+                rows,
                 seq=SEQ,
                 on_duplicate=on_duplicate,
                 order_by=(order_by or {}).get(spec.name, ()),
@@ -91,10 +112,9 @@ def append_pipeline(
     """Add the rows of all parts without matching keys; loading twice doubles."""
     days = None if days is None else list(days)
     for spec in specs:
-        frame = read_parts(spark, bronze_root, spec.source, days)
-        if frame is not None:
-            table = silver_table(spark, silver_root, spec, slices)
-            table.append(spec.transform(frame, carry=[SEQ]), seq=SEQ)
+        rows = table_rows(spark, spec, bronze_root, days)
+        if rows is not None:
+            silver_table(spark, silver_root, spec, slices).append(rows, seq=SEQ)
 
 
 def load_counts(rows: DataFrame, seq: str = SEQ, before: int = 0) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from silvermill.sources.filesystem import move_folder, subfolders
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -161,14 +163,9 @@ def write_parts(frame: DataFrame, root: str, name: str) -> None:
     staging = f"{root}/.{name}_parts"
     (frame.hint("rebalance", F.col("_part"))
      .write.partitionBy("_part").parquet(staging))
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.mkdirs(hadoop.Path(f"{root}/{name}"))
-    for status in files.listStatus(hadoop.Path(staging)):
-        folder = status.getPath()
-        if folder.getName().startswith("_part="):
-            part = folder.getName().removeprefix("_part=")
-            files.rename(folder, hadoop.Path(f"{root}/{name}/{name}_part_{part}.parquet"))
+    for folder in subfolders(spark, staging):
+        part = folder.removeprefix("_part=")
+        move_folder(spark, f"{staging}/{folder}", f"{root}/{name}/{name}_part_{part}.parquet")
 
 
 def _part_of_year(year: str) -> Column:

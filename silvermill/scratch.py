@@ -31,9 +31,3 @@ def scratch_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def release(spark: SparkSession, folder: str) -> None:
-    """Delete a folder that `new_folder` named."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

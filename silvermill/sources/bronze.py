@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from silvermill.functions.parts import part_date, part_glob, part_seq, part_time
-from silvermill.sources.listing import is_missing_path
+from silvermill.sources.filesystem import any_match
 
 SEQ = "_seq"
 
@@ -26,14 +25,35 @@ def read_parts(
 
     The hidden column `_seq` says which part a row came from.
     """
+    pattern = part_glob(root, table, days)
+    if not any_match(spark, pattern):
+        return None
     reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        frame = reader.parquet(part_glob(root, table, days))
-    except AnalysisException as error:
-        if is_missing_path(error):
-            return None
-        raise
-    return with_part_seq(frame)
+    return with_part_seq(reader.parquet(pattern))
+
+
+def read_each_part(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    days: Iterable[str | date] | None = None,
+) -> list[DataFrame]:
+    """A frame per part, in load order, each with the types its own files have.
+
+    A column can be whole numbers in one part and, for want of a value, floating
+    ones in the next; a single scan needs one type for all. The parts' names
+    come to the driver, their rows do not.
+    """
+    pattern = part_glob(root, table, days)
+    if not any_match(spark, pattern):
+        return []
+    parts = list_parts(spark, root, table, days).orderBy("part_seq").collect()
+    return [
+        with_part_seq(spark.read.parquet(
+            f"{root}/{table}/{table}_part_{part.part_date}-{part.part_time}.parquet"
+        ))
+        for part in parts
+    ]
 
 
 def with_part_seq(frame: DataFrame) -> DataFrame:

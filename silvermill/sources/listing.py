@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
-
-def is_missing_path(error: AnalysisException) -> bool:
-    return error.getCondition() in _ABSENT
+from silvermill.sources.filesystem import any_match
 
 
 def list_objects(spark: SparkSession, path: str, name_glob: str = "*") -> DataFrame:
@@ -31,9 +27,11 @@ def objects_with_prefix(spark: SparkSession, root: str, prefix: str) -> DataFram
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """A Parquet table, or None when the path is absent or has no data file."""
+    if not any_match(spark, path):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if is_missing_path(error):
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise

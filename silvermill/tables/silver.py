@@ -108,7 +108,7 @@ class SilverTable:
             seq = SEQ
         staged = stage(
             source, self.keys, seq, on_duplicate, order_by, self.null_safe_keys,
-            target,
+            target, self._slice(slices),
         )
         try:
             if target is None:
@@ -132,11 +132,7 @@ class SilverTable:
         batch: str | None,
     ) -> None:
         column = self._slice_column(stored)
-        touched = [
-            row[0]
-            for row in staged.updates.select(self._slice(slices)).distinct().collect()
-        ]
-        target = stored.where(F.col(column).isin(touched)).drop(column)
+        target = stored.where(F.col(column).isin(staged.touched)).drop(column)
         accept = None
         if newer_only:
             new_seq, old_seq = F.col("_new").getField(SEQ), F.col(SEQ)

@@ -5,25 +5,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from silvermill.functions.checks import any_unknown
+from silvermill.functions.checks import all_known, any_unknown
 from silvermill.operators.parts import check_parts, newest_of_parts, settle_parts
-from silvermill.scratch import new_folder, release
+from silvermill.scratch import new_folder
 from silvermill.sources.bronze import SEQ
+from silvermill.sources.filesystem import delete_folder
 
 
 @dataclass
 class StagedBatch:
     """`updates` has one row per known key; `inserts` is what the batch leaves
-    behind for keys the table lacks; `unknown` are the rows with a NULL key."""
+    behind for keys the table lacks; `unknown` are the rows with a NULL key.
+    `touched` lists the slices that known keys fall into."""
 
     spark: SparkSession
     keys: tuple[str, ...]
-    updates: DataFrame
-    inserts: DataFrame
-    unknown: DataFrame | None
-    rows_in: int
+    updates: DataFrame | None = None
+    inserts: DataFrame | None = None
+    unknown: DataFrame | None = None
+    rows_in: int = 0
+    touched: list[str] = field(default_factory=list)
     folders: list[str] = field(default_factory=list)
 
     def everything(self) -> DataFrame:
@@ -31,7 +34,7 @@ class StagedBatch:
 
     def release(self) -> None:
         for folder in self.folders:
-            release(self.spark, folder)
+            delete_folder(self.spark, folder)
 
 
 def with_seq(source: DataFrame, seq: str | None) -> DataFrame:
@@ -49,53 +52,63 @@ def stage(
     order_by: Sequence[str] = (),
     null_safe: bool = False,
     target: DataFrame | None = None,
+    slice_of: Column | None = None,
 ) -> StagedBatch:
     """Reduce the batch to its newest rows and write them to the shared scratch
-    folder, so that bronze is parsed once and the merge reads stable files."""
+    folder, so that the merge reads stable files.
+
+    Bronze is read once. It is read again only where there are rows that the
+    reduced batch lacks: rows with a NULL key, or repeated keys.
+    """
     if on_duplicate not in ("error", "latest"):
         raise ValueError(f"on_duplicate must be error or latest, not {on_duplicate!r}")
-    if on_duplicate == "latest" and not order_by and seq is None:
-        raise ValueError("on_duplicate='latest' needs order_by or seq")
+    if on_duplicate == "latest" and not order_by:
+        raise ValueError("on_duplicate='latest' needs order_by")
     spark = source.sparkSession
     keys = tuple(keys)
     rows = with_seq(source, seq)
-    columns = rows.columns
-
-    staged = newest_of_parts(rows, keys, SEQ, order_by, null_safe).withColumn(
-        "_known", F.lit(True)
-    )
-    if not null_safe:
-        unknown = rows.where(any_unknown(keys)).select(
-            *columns, F.lit(1).cast("bigint").alias("_rows"),
-            F.lit(0).cast("bigint").alias("_extra"), F.lit(False).alias("_known"),
-        )
-        staged = staged.unionByName(unknown)
-    folder = new_folder(spark, "newest")
-    counts = Observation()
-    (staged
-     .observe(
-         counts,
-         F.sum("_rows").alias("rows"),
-         F.max("_extra").alias("extra"),
-         F.count_if(~F.col("_known")).alias("unknown"),
-     )
-     .drop("_rows", "_extra")
-     .write.parquet(folder))
-    seen = counts.get
-    written = spark.read.schema(staged.drop("_rows", "_extra").schema).parquet(folder)
-    updates = written.where("_known").drop("_known")
-    batch = StagedBatch(spark, keys, updates, updates, None, seen["rows"] or 0, [folder])
-    if seen["unknown"]:
-        batch.unknown = written.where("NOT _known").drop("_known")
-
-    if on_duplicate == "error" and (seen["extra"] or 0) > 0:
-        if null_safe:
-            raise ValueError("null_safe keys need on_duplicate='latest' for repeated keys")
-        raw_folder, settled_folder = new_folder(spark, "raw"), new_folder(spark, "settled")
-        batch.folders += [raw_folder, settled_folder]
-        rows.write.parquet(raw_folder)
-        raw = spark.read.schema(rows.schema).parquet(raw_folder)
-        check_parts(raw, keys, SEQ, target)
-        settle_parts(raw, keys, SEQ).select(*columns).write.parquet(settled_folder)
-        batch.inserts = spark.read.schema(rows.schema).parquet(settled_folder)
+    batch = StagedBatch(spark, keys)
+    try:
+        _fill(batch, rows, on_duplicate, order_by, null_safe, target, slice_of)
+    except BaseException:
+        batch.release()
+        raise
     return batch
+
+
+def _fill(
+    batch: StagedBatch,
+    rows: DataFrame,
+    on_duplicate: str,
+    order_by: Sequence[str],
+    null_safe: bool,
+    target: DataFrame | None,
+    slice_of: Column | None,
+) -> None:
+    keys = batch.keys
+    known = F.lit(True) if null_safe else all_known(keys)
+    newest = _written(newest_of_parts(rows, keys, SEQ, order_by), "newest", batch)
+    facts = newest.groupBy((F.lit("") if slice_of is None else slice_of).alias("slice")).agg(
+        F.sum("_rows").alias("rows"),
+        F.count_if(known).alias("known"),
+        F.count_if(~known).alias("unknown"),
+        F.max(F.when(known, F.col("_extra"))).alias("extra"),
+    ).collect()
+    batch.rows_in = sum(fact["rows"] for fact in facts)
+    batch.touched = [fact["slice"] for fact in facts if fact["known"]]
+    batch.updates = newest.where(known).drop("_rows", "_extra")
+    batch.inserts = batch.updates
+    if any(fact["unknown"] for fact in facts):
+        batch.unknown = _written(rows.where(any_unknown(keys)), "unknown", batch)
+    if on_duplicate == "error" and any((fact["extra"] or 0) > 0 for fact in facts):
+        raw = _written(rows, "raw", batch)
+        check_parts(raw, keys, SEQ, target, null_safe)
+        settled = settle_parts(raw, keys, SEQ, null_safe).select(*rows.columns)
+        batch.inserts = _written(settled, "settled", batch)
+
+
+def _written(rows: DataFrame, label: str, batch: StagedBatch) -> DataFrame:
+    folder = new_folder(batch.spark, label)
+    batch.folders.append(folder)
+    rows.write.parquet(folder)
+    return batch.spark.read.schema(rows.schema).parquet(folder)

@@ -1,0 +1,222 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from silvermill.operators.parts import AmbiguousKeyError
+from silvermill.tables import SilverTable
+from tests.conftest import rows
+
+KEYS = ("k1", "k2")
+SCHEMA = "k1 int, k2 string, v string"
+
+
+def frame(spark, data, schema=SCHEMA):
+    return spark.createDataFrame(data, schema)
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return SilverTable(spark, str(tmp_path / "t"), KEYS, slices=4)
+
+
+def test_bootstrap_then_merge(spark, table):
+    assert not table.exists()
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    table.apply(frame(spark, [(1, "a", "x"), (2, "b", "x")]))
+    table.apply(frame(spark, [(2, "b", "y"), (3, "c", "y")]))
+    assert rows(table.read()) == [(1, "a", "x"), (2, "b", "y"), (3, "c", "y")]
+    table.apply(frame(spark, [(9, "z", "new")]), bootstrap="always")
+    assert rows(table.read()) == [(9, "z", "new")]
+    with pytest.raises(ValueError):
+        table.apply(frame(spark, []), bootstrap="never")
+
+
+def test_an_empty_batch_changes_nothing(spark, table):
+    assert table.apply(frame(spark, [])) == 0
+    assert not table.exists()
+    table.apply(frame(spark, [(1, "a", "x")]))
+    assert table.apply(frame(spark, [])) == 0
+    assert rows(table.read()) == [(1, "a", "x")]
+
+
+def test_applying_again_changes_nothing_for_known_keys(spark, table):
+    batch = frame(spark, [(1, "a", "x"), (2, "b", "x")])
+    table.apply(batch)
+    table.apply(batch)
+    assert rows(table.read()) == [(1, "a", "x"), (2, "b", "x")]
+
+
+def test_null_keys_are_inserted_every_time(spark, table):
+    batch = frame(spark, [(1, None, "x")])
+    assert table.apply(batch) == 1
+    table.apply(batch)
+    assert rows(table.read()) == [(1, None, "x")] * 2
+
+
+def test_a_named_batch_replaces_its_null_keys(spark, table):
+    batch = frame(spark, [(1, None, "x"), (1, "a", "x")])
+    for _ in range(2):
+        table.apply(batch, batch="b-0")
+    table.apply(frame(spark, [(1, None, "x")]), batch="b-1")
+    assert rows(table.read()) == [(1, None, "x"), (1, None, "x"), (1, "a", "x")]
+
+
+def test_null_safe_keys(spark, tmp_path):
+    table = SilverTable(spark, str(tmp_path / "t"), KEYS, slices=4, null_safe_keys=True)
+    table.apply(frame(spark, [(1, None, "x"), (None, None, "x")]))
+    table.apply(frame(spark, [(1, None, "y"), (2, None, "y")]))
+    assert rows(table.read()) == [(None, None, "x"), (1, None, "y"), (2, None, "y")]
+    with pytest.raises(AmbiguousKeyError):
+        table.apply(frame(spark, [(1, None, "p"), (1, None, "q")]))
+
+
+def test_null_safe_needs_a_table_written_so(spark, table):
+    table.apply(frame(spark, [(1, None, "x")]))
+    other = SilverTable(spark, table.path, KEYS, null_safe_keys=True)
+    with pytest.raises(ValueError, match="null_safe_keys"):
+        other.apply(frame(spark, [(1, None, "y")]))
+
+
+def test_the_number_of_slices_stays(spark, table):
+    table.apply(frame(spark, [(i, "a", "x") for i in range(50)]))
+    other = SilverTable(spark, table.path, KEYS, slices=64)
+    other.apply(frame(spark, [(i, "a", "y") for i in range(25, 75)]))
+    assert {n.split("=")[0] for n in os.listdir(table.path) if "=" in n} == {"slice_of_4"}
+    counts = {r["v"]: r["count"] for r in table.read().groupBy("v").count().collect()}
+    assert counts == {"x": 25, "y": 50}
+
+
+def test_every_target_row_with_the_key_is_updated(spark, table):
+    table.append(frame(spark, [(1, "a", "x"), (1, "a", "x2"), (2, "b", "x")]))
+    table.apply(frame(spark, [(1, "a", "y")]))
+    assert rows(table.read()) == [(1, "a", "y"), (1, "a", "y"), (2, "b", "x")]
+
+
+def test_append_keeps_duplicates(spark, table):
+    batch = frame(spark, [(1, "a", "x")])
+    table.append(batch)
+    table.append(batch)
+    assert rows(table.read()) == [(1, "a", "x")] * 2
+
+
+def test_repeated_key_in_one_part(spark, table):
+    twice = frame(spark, [(1, "a", "x"), (1, "a", "y")])
+    table.apply(twice)
+    assert table.read().count() == 2
+    with pytest.raises(AmbiguousKeyError, match="k1"):
+        table.apply(twice)
+    table.apply(twice, on_duplicate="latest", order_by=["v"])
+    assert rows(table.read()) == [(1, "a", "y")] * 2
+    with pytest.raises(ValueError):
+        table.apply(twice, on_duplicate="latest")
+    with pytest.raises(ValueError):
+        table.apply(twice, on_duplicate="first")
+
+
+def test_a_late_part_does_not_undo_a_later_one(spark, table):
+    def part(seq, value):
+        return frame(spark, [(1, "a", value, seq)], SCHEMA + ", seq bigint")
+
+    table.apply(part(20, "late"), seq="seq")
+    table.apply(part(10, "early"), seq="seq", newer_only=True)
+    assert rows(table.read()) == [(1, "a", "late")]
+    table.apply(part(20, "again"), seq="seq", newer_only=True)
+    assert rows(table.read()) == [(1, "a", "again")]
+    table.apply(part(10, "early"), seq="seq")
+    assert rows(table.read()) == [(1, "a", "early")]
+
+
+def test_placeholders_go_once_real_rows_come(spark, tmp_path):
+    table = SilverTable(spark, str(tmp_path / "t"), ("movie", "id"), slice_by=("movie",), slices=4)
+    schema = "movie string, id int, name string"
+    table.apply(frame(spark, [("a", -9999, None), ("b", -9999, None), ("c", 1, "x")], schema))
+    table.apply(
+        frame(spark, [("a", 7, "real"), ("c", -9999, None)], schema), sentinels={"id": -9999}
+    )
+    assert rows(table.read()) == [("a", 7, "real"), ("b", -9999, None), ("c", -9999, None), ("c", 1, "x")]
+    other = SilverTable(spark, str(tmp_path / "o"), ("movie", "id"))
+    with pytest.raises(ValueError, match="parent key"):
+        other.apply(frame(spark, [("a", 7, "real")], schema), sentinels={"id": -9999})
+
+
+def test_columns_are_matched_by_name_and_type(spark, table):
+    table.apply(frame(spark, [(1, "a", "x")]))
+    table.apply(frame(spark, [("y", "a", 1)], "v string, k2 string, k1 bigint"))
+    assert rows(table.read()) == [(1, "a", "y")]
+    with pytest.raises(ValueError, match="differ"):
+        table.apply(frame(spark, [(1, "a", "x", 2)], SCHEMA + ", more int"))
+
+
+def test_a_failed_batch_leaves_no_scratch_and_the_old_table(spark, table):
+    table.apply(frame(spark, [(1, "a", "x")]))
+    bad = frame(spark, [(1, "a", "p"), (1, "a", "q")])
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    with pytest.raises(AmbiguousKeyError):
+        table.apply(bad)
+    assert set(os.listdir(root)) == before
+    assert rows(table.read()) == [(1, "a", "x")]
+
+
+def test_cached_reads(spark, table):
+    table.apply(frame(spark, [(1, "a", "x")]))
+    cached = table.read().cache()
+    assert cached.count() == 1 and cached.storageLevel.useMemory
+    cached.unpersist()
+
+
+def test_files_read_as_plain_parquet(spark, table):
+    table.apply(frame(spark, [(1, "a", "x")]))
+    files = spark.read.option("recursiveFileLookup", "true").parquet(table.path)
+    assert rows(files, "k1", "k2", "v") == [(1, "a", "x")]
+
+
+def test_a_table_without_slices_is_refused(spark, tmp_path):
+    frame(spark, [(1, "a", "x")]).write.parquet(str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="silver table"):
+        SilverTable(spark, str(tmp_path / "t"), KEYS).read()
+
+
+class FakeMerge:
+    """Records the calls that a Delta merge is made of."""
+
+    calls: list = []
+
+    def __getattr__(self, name):
+        def record(*args):
+            FakeMerge.calls.append((name, args))
+            return self
+        return record
+
+
+def test_delta_merge_calls(spark, tmp_path, monkeypatch):
+    import sys
+    import types
+
+    from silvermill.tables import DeltaSilverTable
+
+    class DeltaTable:
+        @staticmethod
+        def isDeltaTable(session, path):
+            return True
+
+        @staticmethod
+        def forPath(session, path):
+            return FakeMerge()
+
+    module = types.ModuleType("delta.tables")
+    module.DeltaTable = DeltaTable
+    monkeypatch.setitem(sys.modules, "delta", types.ModuleType("delta"))
+    monkeypatch.setitem(sys.modules, "delta.tables", module)
+    table = DeltaSilverTable(spark, str(tmp_path / "d"), KEYS)
+    monkeypatch.setattr(table, "read", lambda: frame(spark, []))
+    FakeMerge.calls = []
+    read = table.apply(frame(spark, [(1, "a", "old", 1), (1, "a", "new", 2)], SCHEMA + ", seq bigint"), seq="seq")
+    assert read == 2
+    names = [name for name, _ in FakeMerge.calls]
+    assert names == ["alias", "merge", "whenMatchedUpdateAll", "whenNotMatchedInsertAll", "execute"]
+    source, condition = FakeMerge.calls[1][1]
+    assert source.columns == ["k1", "k2", "v"]
+    assert "k1" in str(condition) and "k2" in str(condition)
