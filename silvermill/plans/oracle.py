@@ -341,6 +341,14 @@ def all_sql() -> dict[str, str]:
                 for name, (field, _, _, missing) in LISTS.items()
             ],
         ]),
+        "silver_quality": union([
+            quality("movies", movie_rows(), "original_title IS NULL", "FALSE"),
+            quality(
+                "keywords",
+                f"SELECT DISTINCT movie_id, id FROM ({list_table('keywords')}) AS k",
+                "id IS NULL", "id = -9999",
+            ),
+        ]),
         "malformed_report": union(
             f"""SELECT '{name}' AS column_name, count(*) AS rows,
                        count(*) FILTER (o_orderpriority LIKE '5%') AS blank_rows,

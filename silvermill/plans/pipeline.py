@@ -8,10 +8,12 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from silvermill.operators.quality import quality_report
 from silvermill.operators.rows import append_union
 from silvermill.plans.catalog import CREDITS_TABLES, MOVIES_TABLES
-from silvermill.sources.bronze import SEQ, read_each_part, read_parts
+from silvermill.sources.bronze import SEQ, read_each_part, read_parts, spread_rows
 from silvermill.spec import TableSpec
+from silvermill.tables.delta import DeltaSilverTable
 from silvermill.tables.silver import SilverTable
 
 REPORT = "table string, source string, rows_in bigint, seconds double"
@@ -26,6 +28,13 @@ def silver_table(
     )
 
 
+def delta_table(
+    spark: SparkSession, root: str, spec: TableSpec, slices: int = 0
+) -> DeltaSilverTable:
+    """For `run_pipeline(open_table=...)`; Delta needs no slices."""
+    return DeltaSilverTable(spark, f"{root}/{spec.name}", spec.keys)
+
+
 def table_rows(
     spark: SparkSession,
     spec: TableSpec,
@@ -38,7 +47,7 @@ def table_rows(
         frames = read_each_part(spark, bronze_root, spec.source, days)
     else:
         frame = read_parts(spark, bronze_root, spec.source, days)
-        frames = [] if frame is None else [frame]
+        frames = [] if frame is None else [spread_rows(frame)]
     if not frames:
         return None
     return append_union(*[spec.transform(frame, carry=[SEQ]) for frame in frames])
@@ -57,7 +66,7 @@ def run_pipeline(
     mixed_types: bool = False,
     replace_sentinel: bool = False,
     batch: str | None = None,
-    open_table: Callable[..., SilverTable] = silver_table,
+    open_table: Callable[..., SilverTable | DeltaSilverTable] = silver_table,
 ) -> DataFrame:
     """Load the tables in order; the first failure ends the run.
 
@@ -117,6 +126,15 @@ def append_pipeline(
             silver_table(spark, silver_root, spec, slices).append(rows, seq=SEQ)
 
 
+def silver_quality(
+    spark: SparkSession, silver_root: str, specs: Sequence[TableSpec]
+) -> DataFrame:
+    """The quality report of silver tables: one row and one pass per table."""
+    return quality_report({
+        spec.name: (silver_table(spark, silver_root, spec).read(), spec) for spec in specs
+    })
+
+
 def load_counts(rows: DataFrame, seq: str = SEQ, before: int = 0) -> DataFrame:
     """Per part: its rows, and the rows loaded up to and including it.
 

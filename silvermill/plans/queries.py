@@ -17,6 +17,7 @@ from silvermill.plans.pipeline import (
     load_counts,
     run_daily,
     run_pipeline,
+    silver_quality,
     silver_table,
 )
 from silvermill.scratch import new_folder
@@ -27,6 +28,7 @@ from silvermill.sources import (
     push_then_pull,
     read_csv,
     read_parts,
+    spread_rows,
     write_csv,
     write_snapshot,
 )
@@ -158,7 +160,7 @@ def query_normalize_words(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.split("text", " ", -1),
         lambda word, i: F.struct(i.alias("id"), word.alias("name")),
     )
-    documents = star.table(spark, sf_dir, "documents")
+    documents = spread_rows(star.table(spark, sf_dir, "documents"))
     return normalize_json_array(
         documents.select("doc_id", F.to_json(words).alias("words")),
         parents=[ColumnSpec("doc_id", "string")],
@@ -391,6 +393,15 @@ def query_pipeline_replace_sentinel(spark: SparkSession, sf_dir: str) -> DataFra
     return keyed_rows(spark, silver, [catalog.GENRES], LABELS)
 
 
+def query_silver_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality report of tables that the pipeline has loaded."""
+    bronze, silver = new_folder(spark, "bronze"), new_folder(spark, "silver")
+    star.write_movies(spark, sf_dir, bronze)
+    specs = [catalog.MOVIES, catalog.KEYWORDS]
+    run_pipeline(spark, specs, bronze, silver, ["20240101"], **LATEST)
+    return silver_quality(spark, silver, specs)
+
+
 def query_append_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze, silver = new_folder(spark, "bronze"), new_folder(spark, "silver")
     star.write_movies(spark, sf_dir, bronze)

@@ -1,4 +1,11 @@
-from silvermill.sources.bronze import SEQ, list_parts, read_each_part, read_parts, with_part_seq
+from silvermill.sources.bronze import (
+    SEQ,
+    list_parts,
+    read_each_part,
+    read_parts,
+    spread_rows,
+    with_part_seq,
+)
 from silvermill.sources.csv import ingest_csv, push_then_pull, read_csv, write_csv
 from silvermill.sources.listing import list_objects, objects_with_prefix, read_if_exists
 from silvermill.sources.local import local_rows
@@ -16,6 +23,7 @@ __all__ = [
     "read_each_part",
     "read_if_exists",
     "read_parts",
+    "spread_rows",
     "with_part_seq",
     "write_csv",
     "write_snapshot",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from silvermill.operators.upsert import latest_per_key, unmatched_rows, updated_rows, upsert
 from silvermill.plans import catalog
+from silvermill.sources import spread_rows
 from silvermill.tables import SilverTable
 from tests.conftest import rows
 
@@ -73,6 +74,23 @@ def test_small_updates_leave_the_target_unshuffled(spark, tmp_path):
     assert "SortMergeJoin" not in text
 
 
+def test_a_sentinel_filter_reaches_the_silver_files(spark, tmp_path):
+    table = SilverTable(spark, str(tmp_path / "t"), ["movie_id", "id"], slices=2)
+    table.overwrite(catalog.GENRES.transform(bronze_movies(spark, tmp_path)))
+    text = plan(table.read().where(F.col("id") == catalog.NO_ID).select("movie_id"))
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(id,-9999\)", text)
+    assert "ReadSchema: struct<movie_id:string,id:int>" in text
+
+
+def test_only_a_scan_with_few_splits_is_spread(spark, tmp_path):
+    few, many = str(tmp_path / "few"), str(tmp_path / "many")
+    spark.range(100).coalesce(1).write.parquet(few)
+    assert "RoundRobinPartitioning" in plan(spread_rows(spark.read.parquet(few)))
+    spark.range(100).repartition(8).write.parquet(many)
+    with settings(spark, spark__sql__files__maxPartitionBytes="500"):
+        assert "Exchange" not in plan(spread_rows(spark.read.parquet(many)))
+
+
 def hot_frame(spark, n):
     """Two thirds of the rows have one key."""
     return spark.range(n).selectExpr(
