@@ -86,21 +86,44 @@ def settle_parts(
     return updated_rows(firsts, newest.drop("_rows"), keys, null_safe)
 
 
+def repeated_keys(
+    df: DataFrame, keys: Sequence[str], seq: str, null_safe: bool = False
+) -> DataFrame:
+    """Keys that occur several times in one part, with the first part they are in."""
+    counts = part_counts(df if null_safe else df.where(all_known(keys)), keys, seq)
+    return counts.where("_repeated").select(*keys, "_first", "_late_repeat")
+
+
 def check_parts(
-    df: DataFrame,
+    repeated: DataFrame,
     keys: Sequence[str],
-    seq: str,
     target: DataFrame | None,
     null_safe: bool = False,
 ) -> None:
-    """Fail when a key occurs several times in a part that would update it."""
-    counts = part_counts(df if null_safe else df.where(all_known(keys)), keys, seq)
-    report(counts.where("_late_repeat"), keys)
+    """Fail when a repeated key would update rows: of an earlier part, or of the
+    target. As new rows, they may repeat."""
+    report(repeated.where("_late_repeat"), keys)
     if target is not None:
-        repeated = counts.where("_repeated").select(*keys)
         report(matching_rows(target.select(*keys), repeated, keys, null_safe), keys)
 
 
+def without_replayed(
+    target: DataFrame,
+    repeated: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    null_safe: bool = False,
+) -> DataFrame:
+    """The target less the rows that an earlier try of the same batch inserted
+    for repeated keys: they are no older than the part that has the key first."""
+    marked = updated_rows(
+        target.withColumn("_first", F.lit(None).cast("bigint")),
+        repeated.select(*keys, "_first"), keys, null_safe,
+    )
+    replayed = F.coalesce(F.col(seq) >= F.col("_first"), F.lit(False))
+    return marked.where(~replayed).drop("_first")
+
+
 def report(offending: DataFrame, keys: Sequence[str]) -> None:
     sample = offending.select(*keys).limit(5).collect()
     if sample:

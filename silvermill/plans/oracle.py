@@ -210,6 +210,9 @@ def all_sql() -> dict[str, str]:
         "read_parts": f"""
             SELECT event_id, {PART_DATE} AS part_date, {PART_TIME} AS part_time,
                    {PART_SEQ} AS part_seq FROM events""",
+        "read_parts_of_days": f"""
+            SELECT event_id, event_type, {PART_SEQ} AS part_seq FROM events
+            WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-21'""",
         "list_parts": f"""
             SELECT DISTINCT {PART_DATE} AS part_date, {PART_TIME} AS part_time,
                    {PART_SEQ} AS part_seq FROM events""",
@@ -281,16 +284,16 @@ def all_sql() -> dict[str, str]:
         "snapshot_roundtrip": "SELECT * FROM part",
         "csv_roundtrip": """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderpriority, o_totalprice FROM orders""",
         "csv_push_pull": "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey FROM customer",
-        "pipeline_credits": union([
+        "load_credits": union([
             credits_merged("cast", CAST_ROWS, "title cast_id character gender id name", "character"),
             credits_merged("crew", CREW_ROWS, "title department gender id job name", "department"),
         ]),
-        "pipeline_movies": union([MOVIES_MERGED, *[list_merged(name) for name in LISTS]]),
-        "pipeline_replace_sentinel": f"""
+        "load_movies": union([MOVIES_MERGED, *[list_merged(name) for name in LISTS]]),
+        "load_replace_sentinel": f"""
             SELECT * FROM ({list_merged("genres")}) AS g
             WHERE NOT (other_key = '-9999' AND movie_id IN (
                 SELECT movie_id FROM ({list_table("genres", revised=True)}) AS b WHERE id <> -9999))""",
-        "append_pipeline": union(
+        "append_parts": union(
             f"""SELECT 'spoken_languages' AS table_name, movie_id, iso_639_1 AS other_key, name AS label
                 FROM ({list_table("spoken_languages", revised)}) AS l"""
             for revised in (False, True)

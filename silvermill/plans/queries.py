@@ -65,8 +65,7 @@ def event_parts(spark: SparkSession, sf_dir: str) -> str:
 
 
 def query_read_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = [f"202401{day:02d}" for day in range(1, 32)]
-    frame = read_parts(spark, event_parts(spark, sf_dir), "events", days)
+    frame = read_parts(spark, event_parts(spark, sf_dir), "events")
     path = F.col("_metadata.file_path")
     return frame.select(
         "event_id", part_date(path).alias("part_date"), part_time(path).alias("part_time"),
@@ -74,6 +73,13 @@ def query_read_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def query_read_parts_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of the middle of January; other parts are not opened."""
+    days = [f"202401{day:02d}" for day in range(10, 21)]
+    frame = read_parts(spark, event_parts(spark, sf_dir), "events", days)
+    return frame.select("event_id", "event_type", F.col(SEQ).alias("part_seq"))
+
+
 def query_list_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_parts(spark, event_parts(spark, sf_dir), "events")
 
@@ -366,14 +372,14 @@ LABELS = {
 }
 
 
-def query_pipeline_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_load_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze, silver = new_folder(spark, "bronze"), new_folder(spark, "silver")
     star.write_credits(spark, sf_dir, bronze)
     run_pipeline(spark, catalog.CREDITS_TABLES, bronze, silver, ["20240101"], **LATEST)
     return keyed_rows(spark, silver, catalog.CREDITS_TABLES, LABELS)
 
 
-def query_pipeline_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_load_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two daily runs: the second merges into the tables of the first."""
     bronze, silver = new_folder(spark, "bronze"), new_folder(spark, "silver")
     star.write_movies(spark, sf_dir, bronze)
@@ -382,7 +388,7 @@ def query_pipeline_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_rows(spark, silver, catalog.MOVIES_TABLES, LABELS)
 
 
-def query_pipeline_replace_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_load_replace_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A placeholder row goes once its parent has real rows."""
     bronze, silver = new_folder(spark, "bronze"), new_folder(spark, "silver")
     star.write_movies(spark, sf_dir, bronze)
@@ -402,7 +408,7 @@ def query_silver_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_quality(spark, silver, specs)
 
 
-def query_append_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_append_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze, silver = new_folder(spark, "bronze"), new_folder(spark, "silver")
     star.write_movies(spark, sf_dir, bronze)
     append_pipeline(spark, [catalog.SPOKEN_LANGUAGES], bronze, silver, slices=4)

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from silvermill.functions.checks import all_known
+from silvermill.operators.parts import without_replayed
 from silvermill.operators.upsert import (
     conform,
     unmatched_rows,
@@ -93,8 +94,8 @@ class SilverTable:
         `bootstrap="always"` replaces the table instead of merging into it.
         `sentinels` makes a placeholder row go once its parent has real rows.
         `newer_only` leaves rows alone that a later part has already written.
-        `batch` names the batch: applying it again then replaces, instead of
-        doubling, its rows with a NULL key.
+        `batch` names the batch: applying it again then replaces what it wrote,
+        also its rows with a NULL key and, given `seq`, new rows that share one.
         """
         if bootstrap not in ("if_missing", "always"):
             raise ValueError(f"bootstrap must be if_missing or always, not {bootstrap!r}")
@@ -108,7 +109,7 @@ class SilverTable:
             seq = SEQ
         staged = stage(
             source, self.keys, seq, on_duplicate, order_by, self.null_safe_keys,
-            target, self._slice(slices),
+            target, self._slice(slices), replay=batch is not None,
         )
         try:
             if target is None:
@@ -133,6 +134,10 @@ class SilverTable:
     ) -> None:
         column = self._slice_column(stored)
         target = stored.where(F.col(column).isin(staged.touched)).drop(column)
+        if batch is not None and staged.repeated is not None:
+            target = without_replayed(
+                target, staged.repeated, self.keys, SEQ, self.null_safe_keys
+            )
         accept = None
         if newer_only:
             new_seq, old_seq = F.col("_new").getField(SEQ), F.col(SEQ)

@@ -8,7 +8,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from silvermill.functions.checks import all_known, any_unknown
-from silvermill.operators.parts import check_parts, newest_of_parts, settle_parts
+from silvermill.operators.parts import (
+    check_parts,
+    newest_of_parts,
+    repeated_keys,
+    settle_parts,
+    without_replayed,
+)
 from silvermill.scratch import new_folder
 from silvermill.sources.bronze import SEQ
 from silvermill.sources.filesystem import delete_folder
@@ -18,13 +24,15 @@ from silvermill.sources.filesystem import delete_folder
 class StagedBatch:
     """`updates` has one row per known key; `inserts` is what the batch leaves
     behind for keys the table lacks; `unknown` are the rows with a NULL key.
-    `touched` lists the slices that known keys fall into."""
+    `repeated` are keys that one part has several times, if any were looked
+    for. `touched` lists the slices that known keys fall into."""
 
     spark: SparkSession
     keys: tuple[str, ...]
     updates: DataFrame | None = None
     inserts: DataFrame | None = None
     unknown: DataFrame | None = None
+    repeated: DataFrame | None = None
     rows_in: int = 0
     touched: list[str] = field(default_factory=list)
     folders: list[str] = field(default_factory=list)
@@ -53,12 +61,14 @@ def stage(
     null_safe: bool = False,
     target: DataFrame | None = None,
     slice_of: Column | None = None,
+    replay: bool = False,
 ) -> StagedBatch:
     """Reduce the batch to its newest rows and write them to the shared scratch
     folder, so that the merge reads stable files.
 
     Bronze is read once. It is read again only where there are rows that the
-    reduced batch lacks: rows with a NULL key, or repeated keys.
+    reduced batch lacks: rows with a NULL key, or repeated keys. `replay` says
+    that an earlier try of this batch may already be in the target.
     """
     if on_duplicate not in ("error", "latest"):
         raise ValueError(f"on_duplicate must be error or latest, not {on_duplicate!r}")
@@ -69,7 +79,7 @@ def stage(
     rows = with_seq(source, seq)
     batch = StagedBatch(spark, keys)
     try:
-        _fill(batch, rows, on_duplicate, order_by, null_safe, target, slice_of)
+        _fill(batch, rows, on_duplicate, order_by, null_safe, target, slice_of, replay)
     except BaseException:
         batch.release()
         raise
@@ -84,6 +94,7 @@ def _fill(
     null_safe: bool,
     target: DataFrame | None,
     slice_of: Column | None,
+    replay: bool,
 ) -> None:
     keys = batch.keys
     known = F.lit(True) if null_safe else all_known(keys)
@@ -102,7 +113,10 @@ def _fill(
         batch.unknown = _written(rows.where(any_unknown(keys)), "unknown", batch)
     if on_duplicate == "error" and any((fact["extra"] or 0) > 0 for fact in facts):
         raw = _written(rows, "raw", batch)
-        check_parts(raw, keys, SEQ, target, null_safe)
+        batch.repeated = _written(repeated_keys(raw, keys, SEQ, null_safe), "repeated", batch)
+        if replay and target is not None:
+            target = without_replayed(target, batch.repeated, keys, SEQ, null_safe)
+        check_parts(batch.repeated, keys, target, null_safe)
         settled = settle_parts(raw, keys, SEQ, null_safe).select(*rows.columns)
         batch.inserts = _written(settled, "settled", batch)
 

@@ -63,6 +63,19 @@ def test_a_named_batch_replaces_its_null_keys(spark, table):
     assert rows(table.read()) == [(1, None, "x"), (1, None, "x"), (1, "a", "x")]
 
 
+def test_a_named_batch_replaces_its_repeated_keys(spark, table):
+    table.apply(frame(spark, [(5, "e", "old")]), batch="b-0")
+    data = [(1, "a", "x", 7), (1, "a", "y", 7), (2, "b", "p", 7), (2, "b", "q", 7), (2, "b", "r", 8)]
+    batch = frame(spark, data, SCHEMA + ", seq bigint")
+    for _ in range(2):
+        table.apply(batch, seq="seq", batch="b-1", newer_only=True)
+        assert rows(table.read()) == [
+            (1, "a", "x"), (1, "a", "y"), (2, "b", "r"), (2, "b", "r"), (5, "e", "old")]
+    older = frame(spark, [(5, "e", "x", 9), (5, "e", "y", 9)], SCHEMA + ", seq bigint")
+    with pytest.raises(AmbiguousKeyError):
+        table.apply(older, seq="seq", batch="b-2")
+
+
 def test_null_safe_keys(spark, tmp_path):
     table = SilverTable(spark, str(tmp_path / "t"), KEYS, slices=4, null_safe_keys=True)
     table.apply(frame(spark, [(1, None, "x"), (None, None, "x")]))
