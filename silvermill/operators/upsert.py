@@ -94,9 +94,15 @@ def unmatched_rows(
     not shuffled.
     """
     seen = matching_rows(target.select(*keys), inserts, keys, null_safe).distinct()
-    seen = _right_side(seen, keys)
-    rows = _with_spread(inserts, keys)
-    return rows.join(seen, _match(rows, seen, keys, null_safe), "left_anti").drop(_SPREAD)
+    return rows_without(inserts, seen, keys, null_safe)
+
+
+def rows_without(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool = False
+) -> DataFrame:
+    """Rows of `df` whose key is not in `other`, where no key repeats."""
+    left, right = _with_spread(df, keys), _right_side(other, keys)
+    return left.join(right, _match(left, right, keys, null_safe), "left_anti").drop(_SPREAD)
 
 
 def without_placeholders(

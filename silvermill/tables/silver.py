@@ -1,7 +1,7 @@
 """A mutable table in plain Parquet.
 
-Rows lie in folders by a hash of the key, and an upsert rewrites only the
-folders that the batch touches. Rows with a NULL key can never be updated, so
+Rows lie in folders by a hash of the key. An upsert rewrites only the folders
+that hold a row to update, and adds files to those that only gain rows. Rows with a NULL key can never be updated, so
 they lie in folders of their own, one per batch, and are never rewritten.
 
 Two columns of the files are not part of the table: the folder name, which also
@@ -19,7 +19,8 @@ from silvermill.functions.checks import all_known
 from silvermill.operators.parts import without_replayed
 from silvermill.operators.upsert import (
     conform,
-    unmatched_rows,
+    matching_rows,
+    rows_without,
     updated_rows,
     without_placeholders,
 )
@@ -86,6 +87,7 @@ class SilverTable:
         bootstrap: str = "if_missing",
         sentinels: dict[str, object] | None = None,
         newer_only: bool = False,
+        rewrite: str = "matched",
         batch: str | None = None,
     ) -> int:
         """Upsert all parts in `source` at once and return the rows read.
@@ -94,11 +96,16 @@ class SilverTable:
         `bootstrap="always"` replaces the table instead of merging into it.
         `sentinels` makes a placeholder row go once its parent has real rows.
         `newer_only` leaves rows alone that a later part has already written.
+        `rewrite="matched"` rewrites the slices that hold a row to update and adds
+        files to those that only gain rows; `"touched"` rewrites both, which also
+        merges their small files.
         `batch` names the batch: applying it again then replaces what it wrote,
         also its rows with a NULL key and, given `seq`, new rows that share one.
         """
         if bootstrap not in ("if_missing", "always"):
             raise ValueError(f"bootstrap must be if_missing or always, not {bootstrap!r}")
+        if rewrite not in ("matched", "touched"):
+            raise ValueError(f"rewrite must be matched or touched, not {rewrite!r}")
         stored = self._stored() if bootstrap == "if_missing" else None
         self._check_layout(stored)
         slices = self._slices(stored)
@@ -109,7 +116,7 @@ class SilverTable:
             seq = SEQ
         staged = stage(
             source, self.keys, seq, on_duplicate, order_by, self.null_safe_keys,
-            target, self._slice(slices), replay=batch is not None,
+            target, self._slice_name(slices), replay=batch is not None,
         )
         try:
             if target is None:
@@ -118,7 +125,7 @@ class SilverTable:
                     rows = self._without_placeholders(rows, staged, sentinels)
                 self._write(rows, slices, "overwrite", "static", batch)
             else:
-                self._merge(stored, staged, slices, sentinels, newer_only, batch)
+                self._merge(stored, staged, slices, sentinels, newer_only, rewrite, batch)
         finally:
             staged.release()
         return staged.rows_in
@@ -130,27 +137,38 @@ class SilverTable:
         slices: int,
         sentinels: dict[str, object] | None,
         newer_only: bool,
+        rewrite: str,
         batch: str | None,
     ) -> None:
+        keys, null_safe = self.keys, self.null_safe_keys
         column = self._slice_column(stored)
-        target = stored.where(F.col(column).isin(staged.touched)).drop(column)
-        if batch is not None and staged.repeated is not None:
-            target = without_replayed(
-                target, staged.repeated, self.keys, SEQ, self.null_safe_keys
-            )
+        target = stored.where(F.col(column).isin(staged.touched))
+        replayed = batch is not None and staged.repeated is not None
+        if replayed:
+            target = without_replayed(target, staged.repeated, keys, SEQ, null_safe)
+        matched = matching_rows(target.select(*keys, column), staged.updates, keys, null_safe)
+        matched = staged.keep(matched.distinct(), "matched")
+
+        rewritten = staged.touched
+        if rewrite == "matched" and not sentinels and not replayed:
+            rewritten = [row[0] for row in matched.select(column).distinct().collect()]
+        here = self._slice_name(slices).isin(rewritten)
         accept = None
         if newer_only:
             new_seq, old_seq = F.col("_new").getField(SEQ), F.col(SEQ)
             accept = new_seq.isNull() | old_seq.isNull() | (new_seq >= old_seq)
-        rows = updated_rows(target, staged.updates, self.keys, self.null_safe_keys, accept)
-        rows = rows.unionByName(
-            unmatched_rows(target, staged.inserts, self.keys, self.null_safe_keys)
-        )
+        rows = updated_rows(
+            target.where(F.col(column).isin(rewritten)).drop(column),
+            staged.updates.where(here), keys, null_safe, accept,
+        ).unionByName(rows_without(staged.inserts.where(here), matched, keys, null_safe))
         if sentinels:
             rows = self._without_placeholders(rows, staged, sentinels)
         if staged.unknown is not None:
             rows = rows.unionByName(staged.unknown)
-        self._write(rows, slices, "overwrite", "dynamic", batch)
+        if rewritten or staged.unknown is not None:
+            self._write(rows, slices, "overwrite", "dynamic", batch)
+        if set(staged.touched) - set(rewritten):
+            self._write(staged.inserts.where(~here), slices, "append", "static")
 
     def _without_placeholders(
         self, rows: DataFrame, staged: StagedBatch, sentinels: dict[str, object]
@@ -186,14 +204,14 @@ class SilverTable:
                     f"{self.path} holds rows written with null_safe_keys=False"
                 )
 
-    def _slice(self, slices: int, batch: str | None = None) -> Column:
+    def _slice_name(self, slices: int, batch: str | None = None) -> Column:
         key = F.concat(
             F.lit("key-"), F.pmod(F.xxhash64(*self.slice_by), F.lit(slices)).cast("string")
         )
         if not self.null_safe_keys:
             unknown = F.lit(_UNKNOWN + (batch or uuid.uuid4().hex))
             key = F.when(all_known(self.keys), key).otherwise(unknown)
-        return key.alias(f"{_SLICE_PREFIX}{slices}")
+        return key
 
     def _write(
         self,
@@ -206,7 +224,7 @@ class SilverTable:
         """Rebalanced by slice: small slices share a task, and adaptive
         execution splits a slice that is too large for one."""
         column = f"{_SLICE_PREFIX}{slices}"
-        (rows.select("*", self._slice(slices, batch))
+        (rows.withColumn(column, self._slice_name(slices, batch))
          .hint("rebalance", F.col(column))
          .write.mode(mode)
          .option("partitionOverwriteMode", partition_mode)

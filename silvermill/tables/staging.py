@@ -40,6 +40,13 @@ class StagedBatch:
     def everything(self) -> DataFrame:
         return self.inserts if self.unknown is None else self.inserts.unionByName(self.unknown)
 
+    def keep(self, rows: DataFrame, label: str) -> DataFrame:
+        """Write rows to the shared scratch folder, and read them from there."""
+        folder = new_folder(self.spark, label)
+        self.folders.append(folder)
+        rows.write.parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
+
     def release(self) -> None:
         for folder in self.folders:
             delete_folder(self.spark, folder)
@@ -98,7 +105,7 @@ def _fill(
 ) -> None:
     keys = batch.keys
     known = F.lit(True) if null_safe else all_known(keys)
-    newest = _written(newest_of_parts(rows, keys, SEQ, order_by), "newest", batch)
+    newest = batch.keep(newest_of_parts(rows, keys, SEQ, order_by), "newest")
     facts = newest.groupBy((F.lit("") if slice_of is None else slice_of).alias("slice")).agg(
         F.sum("_rows").alias("rows"),
         F.count_if(known).alias("known"),
@@ -110,19 +117,12 @@ def _fill(
     batch.updates = newest.where(known).drop("_rows", "_extra")
     batch.inserts = batch.updates
     if any(fact["unknown"] for fact in facts):
-        batch.unknown = _written(rows.where(any_unknown(keys)), "unknown", batch)
+        batch.unknown = batch.keep(rows.where(any_unknown(keys)), "unknown")
     if on_duplicate == "error" and any((fact["extra"] or 0) > 0 for fact in facts):
-        raw = _written(rows, "raw", batch)
-        batch.repeated = _written(repeated_keys(raw, keys, SEQ, null_safe), "repeated", batch)
+        raw = batch.keep(rows, "raw")
+        batch.repeated = batch.keep(repeated_keys(raw, keys, SEQ, null_safe), "repeated")
         if replay and target is not None:
             target = without_replayed(target, batch.repeated, keys, SEQ, null_safe)
         check_parts(batch.repeated, keys, target, null_safe)
         settled = settle_parts(raw, keys, SEQ, null_safe).select(*rows.columns)
-        batch.inserts = _written(settled, "settled", batch)
-
-
-def _written(rows: DataFrame, label: str, batch: StagedBatch) -> DataFrame:
-    folder = new_folder(batch.spark, label)
-    batch.folders.append(folder)
-    rows.write.parquet(folder)
-    return batch.spark.read.schema(rows.schema).parquet(folder)
+        batch.inserts = batch.keep(settled, "settled")

@@ -156,6 +156,25 @@ def test_untouched_slices_keep_their_files(spark, tmp_path):
     assert table.read().where("v = -1").count() == 1 and table.read().count() == 200
 
 
+def test_slices_that_only_gain_rows_keep_their_files(spark, tmp_path):
+    path = tmp_path / "t"
+    table = SilverTable(spark, str(path), ["k"], slices=4)
+    table.overwrite(spark.range(100).selectExpr("id k", "id v"))
+
+    def files():
+        return {
+            os.path.join(folder, f)
+            for folder, _, names in os.walk(path) for f in names if f.endswith(".parquet")
+        }
+
+    before = files()
+    table.apply(spark.range(100, 200).selectExpr("id k", "id v"))
+    assert before < files()
+    table.apply(spark.range(150, 250).selectExpr("id k", "-1L v"), rewrite="touched")
+    assert not before & files() and len(files()) == 4
+    assert table.read().count() == 250 and table.read().where("v = -1").count() == 100
+
+
 def test_both_sides_of_one_query_agree_under_skew_settings(spark):
     df = hot_frame(spark, 3_000)
     target = df.where("v < 2000").select("k", "v")
