@@ -349,6 +349,7 @@ LATEST = {
     "on_duplicate": "latest",
     "order_by": {spec.name: every_column(spec) for spec in catalog.ALL_TABLES},
     "slices": 4,
+    "parallel": 4,
 }
 
 

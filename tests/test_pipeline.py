@@ -93,6 +93,19 @@ def test_the_first_failure_ends_the_run(spark, roots):
     assert not silver_table(spark, target, catalog.KEYWORDS).exists()
 
 
+def test_tables_side_by_side(spark, roots):
+    bronze, target = roots
+    bad = '[{"id":"x","name":"p"},{"id":"y","name":"q"}]'
+    write_movies(spark, bronze, "20240101-080000", [movie(1), movie(2)])
+    specs = [catalog.GENRES, catalog.KEYWORDS, catalog.SPOKEN_LANGUAGES]
+    report = run_pipeline(spark, specs, bronze, target, parallel=3)
+    assert [(r.table, r.rows_in) for r in report.collect()] == [
+        ("genres", 2), ("keywords", 2), ("spoken_languages", 2)]
+    write_movies(spark, bronze, "20240102-080000", [movie(1, genres=bad)])
+    with pytest.raises(AmbiguousKeyError):
+        run_pipeline(spark, specs, bronze, target, ["20240102"], parallel=3)
+
+
 def test_bootstrap_always_replaces_what_is_there(spark, roots):
     bronze, target = roots
     write_movies(spark, bronze, "20240101-080000", [movie(1), movie(2)])
