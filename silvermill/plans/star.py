@@ -19,12 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item, and every order that has none with NULL line columns."""
-    lines = spread_rows(table(spark, sf_dir, "lineitem").select(
+    lineitem = table(spark, sf_dir, "lineitem")
+    lines = spread_rows(lineitem.select(
         F.col("l_orderkey").alias("orderkey"),
         "l_linenumber", "l_partkey", "l_suppkey",
         "l_returnflag", "l_linestatus", F.year("l_shipdate").alias("ship_year"),
     ))
-    with_lines = lines.select(F.col("orderkey").alias("o_orderkey")).distinct()
+    with_lines = lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
     empty = table(spark, sf_dir, "orders").join(with_lines, "o_orderkey", "left_anti")
     return lines.unionByName(
         empty.select(F.col("o_orderkey").alias("orderkey"), F.year("o_orderdate").alias("ship_year")),
