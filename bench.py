@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from silvermill.plans import catalog, star
 from silvermill.plans.pipeline import run_pipeline, silver_table
 from silvermill.plans.queries import LATEST, all_queries
-from silvermill.scratch import new_folder
+from silvermill.scratch import name_local_scratch, new_folder
 from silvermill.sources import SEQ, list_parts, with_part_seq
 
 HEADLINE = (
@@ -94,6 +94,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    name_local_scratch(spark)
     queries = all_queries()
     drain(queries["json_field"](spark, sf_dir))  # the first job also starts the engine
 

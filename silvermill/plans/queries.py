@@ -20,7 +20,7 @@ from silvermill.plans.pipeline import (
     silver_quality,
     silver_table,
 )
-from silvermill.scratch import new_folder
+from silvermill.scratch import new_folder, with_scratch
 from silvermill.sources import (
     SEQ,
     list_objects,
@@ -535,4 +535,4 @@ def all_queries() -> dict[str, Query]:
         if name.startswith("query_")
     }
     found.update({f"table_{spec.name}": table_query(spec) for spec in catalog.ALL_TABLES})
-    return found
+    return {name: with_scratch(query) for name, query in found.items()}
