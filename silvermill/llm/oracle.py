@@ -2,6 +2,33 @@
 
 from __future__ import annotations
 
+WARC = r"""
+WITH paid AS (
+    SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+           upper(sha1(coalesce(html, ''))) AS hexed
+    FROM pages
+), bits AS (
+    SELECT page_id, payload_bytes, hexed,
+           array_to_string(list_transform(generate_series(1, 40),
+               lambda i: right('0000' || bin(strpos('0123456789ABCDEF', substr(hexed, i, 1)) - 1), 4)), '') AS b
+    FROM paid
+), texts AS (
+    SELECT page_id, payload_bytes, hexed,
+           array_to_string(list_transform(generate_series(0, 31),
+               lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   list_sum(list_transform(generate_series(1, 5),
+                       lambda j: CASE WHEN substr(b, i * 5 + j, 1) = '1' THEN 1 << (5 - j) ELSE 0 END))::INT + 1, 1)), '')
+               AS payload_digest
+    FROM bits
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY hexed) AS first FROM texts
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
 LINE_DEDUP = r"""
 WITH lines AS (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -102,6 +129,7 @@ FROM ruled
 
 def llm_sql() -> dict[str, str]:
     return {
+        "op2_warc": WARC,
         "op3_line_dedup": LINE_DEDUP,
         "op7_mixing": MIXING,
         "op10_url_filter": URL_FILTER,

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from silvermill.llm import ann, quality, warc
 from silvermill.llm.following import ring_buckets
+from silvermill.llm.jaccard_join import near_duplicates
 from silvermill.llm.line_dedup import dedup_lines
+from silvermill.llm.lm_scoring import score_documents
 from silvermill.llm.mixing import mix_sources, word_count
+from silvermill.llm.packing import pack_pieces, token_pieces
 from silvermill.llm.simhash import fingerprint_rows, likeness, near_fingerprints
 from silvermill.llm.text import read_table, whole_text
 from silvermill.llm.url_filter import judge_urls
-from silvermill.scratch import stored, with_scratch
+from silvermill.scratch import new_folder, stored, with_scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +30,22 @@ URL_RULES = (
 )
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_documents(docs, order=2, alpha=0.4, min_count=2)
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    folder = new_folder(spark, "warc")
+    index = warc.write_bundles(pages, folder, id_col="page_id", min_payload=0)
+    page = lambda name: F.substring_index(name, ":", -1).try_cast("long")
+    return warc.read_bundles(index, folder).select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select(
@@ -32,6 +53,17 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = ann.build_index(vectors)
+    return ann.nearest(index, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs, shingle=3, percent=90)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", whole_text("text").alias("text"))
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -92,11 +124,29 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = token_pieces(docs, vocabulary, public_tokenizers.PATTERN, capacity=1024, end_id=2)
+    return pack_pieces(stored(pieces, "pieces"), capacity=1024)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train_quality(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model, threshold=0.7).select(
+        "doc_id", quality.is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def llm_queries() -> dict[str, Query]:
-    queries = (op3_line_dedup, op6_simhash, op7_mixing, op10_url_filter)
+    queries = (
+        op1_lm_scoring, op2_warc, op3_line_dedup, op4_nearest, op5_jaccard_join, op6_simhash,
+        op7_mixing, op8_packing, op9_quality, op10_url_filter,
+    )
     return {query.__name__: with_scratch(query) for query in queries}
