@@ -3,23 +3,45 @@
 Kiveris et al., "Connected Components in MapReduce and Beyond": each step links
 nodes to the smallest neighbour they know, which shrinks every component to a
 star in a logarithmic number of steps. A step aggregates with map-side combine
-and joins on the node, so a hub may have any number of neighbours. Every step is
+and joins on the node, so a hub may have any number of neighbours. Before the
+first step, each partition of the edges joins up what it holds. Every step is
 written to the shared folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from silvermill.scratch import stored
 
 
+def _joined_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A star for each component of a batch's edges."""
+    for frame in frames:
+        root: dict[int, int] = {}
+
+        def find(node: int) -> int:
+            while (above := root.setdefault(node, node)) != node:
+                root[node] = root[above]
+                node = above
+            return node
+
+        for a, b in zip(frame["a"].tolist(), frame["b"].tolist()):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+        stars = [(node, find(node)) for node in list(root)]
+        yield pd.DataFrame([x for x in stars if x[0] != x[1]], columns=["a", "b"]).astype("int64")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
     return (
         both.join(least, "a").where(F.col("b") > F.col("a"))
-        .select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct()
+        .select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
     )
 
 
@@ -30,29 +52,28 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return kept.where("a <> b").union(least.select("a", F.col("low").alias("b"))).distinct()
 
 
-def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"),
-        F.sum(F.xxhash64("b", "a").bitwiseAND(F.lit(0xFFFFFFFF))).alias("s"),
-    ).first()
-    return row.n, row.x, row.s
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every node has one parent, a centre being its own."""
+    parents = edges.select("a", "b").union(edges.select("b", "b"))
+    several = parents.groupBy("a").agg((F.min("b") != F.max("b")).alias("several"))
+    return not several.agg(F.max("several")).first()[0]
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root) for every node with a neighbour; root is the smallest node.
+    """(node, root) for every node with a neighbour; nodes are longs, and the
+    smallest of a component is its root.
 
     Edges have no direction; loops, repeats and nulls do not count. No edges give
     no rows.
     """
+    pairs = edges.select(
+        F.greatest(a, b).cast("long").alias("a"), F.least(a, b).cast("long").alias("b")
+    ).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+    tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     current = stored(
-        edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct(), "edges"
+        pairs.repartition(tasks, "b").mapInPandas(_joined_up, "a long, b long"), "edges"
     )
-    known = _signature(current)
-    while known[0]:
+    while not _only_stars(current):
         current = stored(_small_star(_large_star(current)), "edges")
-        now = _signature(current)
-        if now == known:
-            break
-        known = now
-    stars = current.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root"))
-    return stars.union(stars.select(F.col("root").alias("node"), "root")).distinct()
+    stars = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return stars.union(current.select("b", "b")).distinct()

@@ -17,8 +17,10 @@ alone, and sizes of a link are within the threshold's ratio.
 
 Copies in thousands would make millions of pairs in a block. In a first round
 every set of a block is only compared with the block's smallest; linked sets
-become one component. Trees are then built for blocks that still hold several
-components, and give out pairs of different components only.
+become one component. In blocks that still hold several, the same is done once
+more with leaders: sets that no other leader is near. Trees are then built for
+the blocks that even so hold several components, and give out every pair of
+different ones that may be a link.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from silvermill.llm.components import connected_components
-from silvermill.llm.text import WordHashes, mix, shingles, whole_text
+from silvermill.llm.text import distinct, mix, shingles, whole_text, word_hashes
 from silvermill.scratch import stored
 
 COORDINATES = 64
@@ -39,9 +41,9 @@ LEAF = 32
 
 # Sets
 
-def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
+def shingle_set(text: str | None, size: int) -> np.ndarray:
     """The distinct shingles' hashes, sorted."""
-    return np.unique(shingles(words, size))
+    return distinct(shingles(word_hashes(text), size))
 
 
 def set_hash(hashes: np.ndarray) -> int:
@@ -119,9 +121,8 @@ def _document_sets(docs: DataFrame, shingle: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordHashes()
         for frame in frames:
-            found = [shingle_set(words.of(text), shingle) for text in frame["text"]]
+            found = [shingle_set(text, shingle) for text in frame["text"]]
             yield pd.DataFrame({
                 "doc_id": frame["doc_id"],
                 "n_shingles": np.array([len(s) for s in found], np.int64),
@@ -136,11 +137,11 @@ def _blocks(docs: DataFrame, shingle: int, percent: int, largest: int, buckets:
     starts = size_bands(percent, largest)
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, seen = WordHashes(), set()
+        seen = set()
         names, nodes, held = [], [], 0
         for frame in frames:
             for text in frame["text"]:
-                hashes = shingle_set(words.of(text), shingle)
+                hashes = shingle_set(text, shingle)
                 node = set_hash(hashes) if len(hashes) else None
                 if node is None or node in seen:
                     continue  # copies that lie together need no blocks of their own
@@ -246,16 +247,56 @@ class CountTree:
                 node = np.concatenate([self.low_child[node[inner]], self.high_child[node[inner]]])
 
 
-def _tree_pairs(percent: int):
+def candidate_pairs(
+    points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, percent: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A small block is one leaf, compared without a tree."""
+    if len(points) > 2 * LEAF:
+        yield from CountTree(points, sizes).pairs(labels, percent)
+        return
+    i, j = np.triu_indices(len(points), 1)
+    other = labels[i] != labels[j]
+    i, j = i[other], j[other]
+    reach = np.minimum(points[i], points[j]).sum(axis=1, dtype=np.int64)
+    near = reach >= needed_overlap(sizes[i], sizes[j], percent)
+    yield i[near], j[near]
+
+
+def leader_pairs(
+    nodes: np.ndarray, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, percent: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a leader and those of other components that may link with it.
+
+    Whoever is near a leader, or in its component, leads nobody: copies give one
+    pair each and not one for every two of them.
+    """
+    left = np.argsort(mix(nodes.astype(np.uint64)))
+    while len(left) > 1:
+        leader, left = left[0], left[1:]
+        left = left[labels[left] != labels[leader]]
+        reach = np.minimum(points[left], points[leader]).sum(axis=1, dtype=np.int64)
+        near = reach >= needed_overlap(sizes[leader], sizes[left], percent)
+        if near.any():
+            yield np.full(near.sum(), leader), left[near]
+        left = left[~near]
+
+
+def _pairs_of_blocks(percent: int, leaders: bool):
     def pairs(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("node")
-        node, label = frame["node"].to_numpy(), frame["label"].to_numpy()
-        points = np.stack([np.frombuffer(x, np.uint32) for x in frame["counts"]])
-        found = list(CountTree(points, frame["n"].to_numpy(np.int64)).pairs(label, percent))
-        if not found:
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        i, j = map(np.concatenate, zip(*found))
-        return pd.DataFrame({"a": node[i], "b": node[j]})
+        frame = frame.sort_values(["block", "node"])
+        block, node = frame["block"].to_numpy(), frame["node"].to_numpy()
+        label, size = frame["label"].to_numpy(), frame["n"].to_numpy(np.int64)
+        points = np.frombuffer(b"".join(frame["counts"]), np.uint32).reshape(len(frame), -1)
+        edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x, y in zip(edges, edges[1:]):
+            own = points[x:y], size[x:y], label[x:y], percent
+            found = leader_pairs(node[x:y], *own) if leaders else candidate_pairs(*own)
+            for i, j in found:
+                a.append(node[x + i])
+                b.append(node[x + j])
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
 
     return pairs
 
@@ -268,13 +309,13 @@ def _verified(pairs: DataFrame, members: DataFrame, shingle: int, percent: int)
     b = members.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
     def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, kept = WordHashes(), (None, None)
+        kept = (None, None)
         for frame in frames:
             good = np.zeros(len(frame), bool)
             for i, (text_a, number, text_b) in enumerate(zip(frame["text_a"], frame["b"], frame["text_b"])):
                 if kept[0] != number:
-                    kept = number, shingle_set(words.of(text_b), shingle)
-                good[i] = is_link(shingle_set(words.of(text_a), shingle), kept[1], percent)
+                    kept = number, shingle_set(text_b, shingle)
+                good[i] = is_link(shingle_set(text_a, shingle), kept[1], percent)
             yield frame.loc[good, ["a", "b"]]
 
     return stored(pairs.join(a, "a").join(b, "b").mapInPandas(check, "a long, b long"), "links")
@@ -315,24 +356,30 @@ def near_duplicates(
     )
     entries = blocks.select("block", F.explode("nodes").alias("node"))
     members = _members(rows, entries.select("node").distinct(), classes, shingle)
-    stars = blocks.select(F.explode(F.slice("nodes", 2, 2147483647)).alias("a"), F.col("nodes")[0].alias("b")).distinct()
-    stars = stored(stars, "stars")
+    others = F.explode(F.slice("nodes", 2, 2147483647))
+    stars = stored(blocks.select(others.alias("a"), F.col("nodes")[0].alias("b")).distinct(), "stars")
     links = _verified(stars, members, shingle, percent)
-    label = connected_components(links)
-    labelled = entries.join(label, "node", "left").select(
-        "block", "node", F.coalesce("root", "node").alias("label")
-    )
-    mixed = (
-        labelled.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-        .where("x <> y").select("block")
-    )
-    points = labelled.join(mixed, "block").join(members.select("node", "n", "counts"), "node")
-    pairs = (
-        points.groupBy("block").applyInPandas(_tree_pairs(percent), "a long, b long").distinct()
-        .join(stars.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    )
-    more = _verified(pairs, members, shingle, percent)
-    roots = connected_components(links.union(more))
+    roots = connected_components(links)
+    tested = stars
+    for leaders in (True, False):
+        labelled = entries.join(roots, "node", "left").select(
+            "block", "node", F.coalesce("root", "node").alias("label")
+        )
+        mixed = (
+            labelled.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+            .where("x <> y").select("block")
+        )
+        mixed_entries = stored(labelled.join(mixed, "block"), "mixed-blocks")
+        points = mixed_entries.join(members.select("node", "n", "counts"), "node")
+        pairs = stored(
+            points.groupBy(F.pmod("block", F.lit(buckets)).alias("bucket"))
+            .applyInPandas(_pairs_of_blocks(percent, leaders), "a long, b long").distinct()
+            .join(tested, ["a", "b"], "left_anti"),
+            "pairs",
+        )
+        links = links.union(_verified(pairs, members, shingle, percent))
+        tested, entries = tested.union(pairs), mixed_entries.drop("label")
+        roots = connected_components(links)
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     of_node = named.join(least, "root").select("node", "component_id")
@@ -347,13 +394,13 @@ def _members(rows: DataFrame, nodes: DataFrame, classes: DataFrame, shingle: int
     wanted = classes.join(nodes, "node").select("node", F.col("first").alias("doc_id"))
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, seen = WordHashes(), set()
+        seen = set()
         for frame in frames:
             out = []
             for node, text in zip(frame["node"], frame["text"]):
                 if node in seen:
                     continue  # a repeated row
-                hashes = shingle_set(words.of(text), shingle)
+                hashes = shingle_set(text, shingle)
                 if len(hashes) and set_hash(hashes) == node:  # an id may have other texts
                     seen.add(node)
                     out.append((node, len(hashes), group_counts(hashes).tobytes(), text))

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from silvermill.llm.text import WordHashes, mix, whole_text
+from silvermill.llm.text import WORD, mix, whole_text, word_hashes
 
 ASKED = "bucket int, block int, rank int, grams binary, counts binary"
 
@@ -32,8 +32,7 @@ class BlockGrams:
     their counts, and which of them stands at each place."""
 
     def __init__(self, texts, order: int):
-        words = WordHashes()
-        parts = [words.of(text) for text in texts]
+        parts = [word_hashes(text) for text in texts]
         self.lengths = np.array([len(p) for p in parts], np.int64)
         flat = np.concatenate([*parts, np.zeros(0, np.uint64)])
         ends = np.cumsum(self.lengths)
@@ -153,7 +152,7 @@ def score_documents(
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     size = rows.agg(
         F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")), F.lit(0)).alias("words"),
+        F.coalesce(F.sum(F.regexp_count("text", F.lit(WORD)).cast("long")), F.lit(0)).alias("words"),
     ).first()
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(1, -(-size.bytes // block_bytes))

@@ -7,7 +7,6 @@ lower-cased, so results do not depend on a locale or a Unicode version.
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -38,23 +37,6 @@ def hash128(column: Column) -> Column:
     return F.struct(F.xxhash64(column).alias("a"), F.xxhash64(F.lit(1), column).alias("b"))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    limit = 500_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, text: str | None) -> np.ndarray:
-        """The words' hashes in their order, as uint64."""
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijection of uint64 that spreads every bit."""
     values = values + _STEP
@@ -63,13 +45,51 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+def _multipliers(count: int) -> np.ndarray:
+    return mix(np.arange(count, dtype=np.uint64)) | np.uint64(1)
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SOLID = np.ones(256, bool)
+_SOLID[[32, 9, 10, 11, 12, 13]] = False
+_FACTORS = _multipliers(4096)
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """The words' 64-bit hashes in their order, as uint64.
+
+    A word's hash is the sum of its bytes, each times a factor of its place.
+    """
+    raw = _LOWER[np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)]
+    solid = _SOLID[raw]
+    at = np.flatnonzero(solid)
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    edges = np.concatenate([[0], np.flatnonzero(solid[1:] != solid[:-1]) + 1, [len(raw)]])
+    edges = edges[0 if solid[0] else 1 :]
+    length = edges[1::2] - edges[: len(edges) // 2 * 2 : 2]
+    first = np.cumsum(length) - length
+    place = np.arange(len(at)) - np.repeat(first, length)
+    longest = int(length.max())
+    factors = _FACTORS if longest <= len(_FACTORS) else _multipliers(longest)
+    total = np.add.reduceat((raw[at].astype(np.uint64) + np.uint64(1)) * factors[place], first)
+    return mix(total ^ length.astype(np.uint64))
+
+
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of every run of `size` words; one of the whole if it is shorter."""
     if not len(words):
         return words
     width = min(size, len(words))
     count = len(words) - width + 1
-    hashed = np.full(count, width, np.uint64)
+    total = np.full(count, width, np.uint64)
     for k in range(width):
-        hashed = mix(hashed ^ words[k : k + count]) * _MIX[0] + np.uint64(k + 1)
-    return mix(hashed)
+        total += words[k : k + count] * _FACTORS[k]
+    return mix(total)
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """Sorted, each once."""
+    hashes = np.sort(hashes)
+    return hashes[np.concatenate([[True], hashes[1:] != hashes[:-1]])] if len(hashes) else hashes
