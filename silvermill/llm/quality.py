@@ -15,10 +15,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from silvermill.llm.text import mix, whole_text
+from silvermill.llm.text import raw_texts, whole_text
 from silvermill.scratch import stored
 
 ORDERS = 3
@@ -29,9 +29,8 @@ _BREAK = np.zeros(256, bool)
 _BREAK[[32, 9, 10, 11, 12, 13]] = True
 
 
-def features(text: str | None, bits: int) -> np.ndarray:
-    """The sorted, distinct feature numbers of a whole text."""
-    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+def features(raw: np.ndarray, bits: int) -> np.ndarray:
+    """The sorted, distinct feature numbers of a whole text in UTF-8."""
     seen = np.zeros(1 << bits, bool)
     if not len(raw):
         return np.zeros(0, np.int32)
@@ -174,31 +173,36 @@ def train_quality(
     edge = int(-(2**63) + share * (2**64 - 1))
     chosen = (order <= F.lit(min(edge, 2**63 - 1))).alias("chosen")
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["feature", "bad", "good", "row"]
+    kinds = pa.schema([(name, pa.int64()) for name in names[:3]] + [("row", pa.binary())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 1 << bits), np.int64)
         sizes = np.zeros(2, np.int64)
-        for frame in frames:
+        for batch in batches:
+            labels, places = batch["label"].to_numpy(), batch["place"].to_numpy()
+            taken = batch["chosen"].to_numpy(zero_copy_only=False)
             samples = []
-            for text, label, taken, place in zip(
-                frame["text"], frame["label"], frame["chosen"], frame["place"]
-            ):
-                found = features(text, bits)
-                counts[label, found] += 1
-                sizes[label] += 1
-                if taken:
-                    samples.append((-2, label, place, found.tobytes()))
+            for i, raw in enumerate(raw_texts(batch["text"])):
+                found = features(raw, bits)
+                counts[labels[i], found] += 1
+                sizes[labels[i]] += 1
+                if taken[i]:
+                    samples.append((-2, int(labels[i]), int(places[i]), found.tobytes()))
             if samples:
-                yield pd.DataFrame(samples, columns=["feature", "bad", "good", "row"])
+                yield pa.record_batch(list(map(list, zip(*samples))), schema=kinds)
         used = np.flatnonzero(counts.any(axis=0))
-        yield pd.DataFrame({
-            "feature": np.append(used, -1), "bad": np.append(counts[0, used], sizes[0]),
-            "good": np.append(counts[1, used], sizes[1]), "row": None,
-        })
+        yield pa.record_batch([
+            np.append(used, -1), np.append(counts[0, used], sizes[0]),
+            np.append(counts[1, used], sizes[1]), pa.nulls(len(used) + 1, pa.binary()),
+        ], schema=kinds)
 
+    # one plan for all sizes: labels grow with the documents, and small ones would
+    # otherwise be broadcast
     counted = stored(
-        texts.join(known, "id")
+        texts.join(known.hint("merge"), "id")
         .select("text", "label", chosen, order.alias("place"))
-        .mapInPandas(count, "feature long, bad long, good long, row binary"),
+        .mapInArrow(count, "feature long, bad long, good long, row binary"),
         "quality-counts",
     )
     sums = (
@@ -262,16 +266,16 @@ def score_quality(
     plain = (model.bits, model.weights, model.bias, model.slope, model.centre)
     shared = docs.sparkSession.sparkContext.broadcast(plain)
 
-    @F.pandas_udf("double")
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bits, weights, bias, slope, centre = shared.value
         linear, squares = weights
-        for series in texts:
-            margins = np.empty(len(series))
-            for i, text in enumerate(series):
-                row = features(text, bits)
+        for texts in batches:
+            margins = np.empty(len(texts))
+            for i, raw in enumerate(raw_texts(texts)):
+                row = features(raw, bits)
                 margins[i] = linear[row].sum() / (np.sqrt(squares[row].sum()) or 1.0) + bias
-            yield pd.Series(1 / (1 + np.exp(-np.clip(slope * margins + centre, -30, 30))))
+            yield pa.array(1 / (1 + np.exp(-np.clip(slope * margins + centre, -30, 30))))
 
     scored = docs.withColumn(score_col, score(whole_text(text_col)))
     return scored.withColumn(predicted_col, F.when(F.col(score_col) >= threshold, 1).otherwise(0))

@@ -6,7 +6,10 @@ lower-cased, so results do not depend on a locale or a Unicode version.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -37,6 +40,16 @@ def hash128(column: Column) -> Column:
     return F.struct(F.xxhash64(column).alias("a"), F.xxhash64(F.lit(1), column).alias("b"))
 
 
+def raw_texts(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The bytes of each text of an Arrow array without nulls, not copied."""
+    wide = pa.types.is_large_string(texts.type)
+    _, places, data = texts.buffers()
+    offsets = np.frombuffer(places, np.int64 if wide else np.int32) if len(texts) else np.zeros(1, int)
+    bytes_ = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    for i in range(texts.offset, texts.offset + len(texts)):
+        yield bytes_[offsets[i] : offsets[i + 1]]
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijection of uint64 that spreads every bit."""
     values = values + _STEP
