@@ -35,7 +35,7 @@ from silvermill.llm.components import connected_components
 from silvermill.llm.text import distinct, mix, shingles, whole_text, word_hashes
 from silvermill.scratch import stored
 
-COORDINATES = 64
+COORDINATES = 256
 LEAF = 32
 
 
