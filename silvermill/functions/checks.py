@@ -11,11 +11,11 @@ _WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 def all_known(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
+    return reduce(lambda a, b: a & b, [F.col(f"`{key}`").isNotNull() for key in keys])
 
 
 def any_unknown(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
+    return reduce(lambda a, b: a | b, [F.col(f"`{key}`").isNull() for key in keys])
 
 
 def is_missing(name: str, kind: T.DataType) -> Column:

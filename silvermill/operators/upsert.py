@@ -33,7 +33,7 @@ def _with_spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _right_side(df: DataFrame, keys: Sequence[str], *others: Column) -> DataFrame:
     """The keys under other names, so that both sides can come from one table."""
-    renamed = [F.col(k).alias(f"_r_{k}") for k in keys]
+    renamed = [F.col(f"`{k}`").alias(f"_r_{k}") for k in keys]
     return df.select(*renamed, F.xxhash64(*keys).alias(f"_r_{_SPREAD}"), *others)
 
 

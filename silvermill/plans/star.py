@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from silvermill.sources.bronze import spread_rows
 from silvermill.sources.filesystem import move_folder, subfolders
 
 
@@ -20,11 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item, and every order that has none with NULL line columns."""
     lineitem = table(spark, sf_dir, "lineitem")
-    lines = spread_rows(lineitem.select(
+    lines = lineitem.select(
         F.col("l_orderkey").alias("orderkey"),
         "l_linenumber", "l_partkey", "l_suppkey",
         "l_returnflag", "l_linestatus", F.year("l_shipdate").alias("ship_year"),
-    ))
+    )
     with_lines = lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
     empty = table(spark, sf_dir, "orders").join(with_lines, "o_orderkey", "left_anti")
     return lines.unionByName(
@@ -127,7 +126,7 @@ def movies(spark: SparkSession, sf_dir: str, revised: bool = False) -> DataFrame
         second = make(F.lit(None).cast("string"), key + 1_000_000)
         return _by_priority(listed, F.array(first, second), first)
 
-    return spread_rows(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         key.alias("id"),
         F.concat(F.lit("Order "), text).alias("title"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("budget"),

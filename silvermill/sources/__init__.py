@@ -3,7 +3,6 @@ from silvermill.sources.bronze import (
     list_parts,
     read_each_part,
     read_parts,
-    spread_rows,
     with_part_seq,
 )
 from silvermill.sources.csv import ingest_csv, push_then_pull, read_csv, write_csv
@@ -23,7 +22,6 @@ __all__ = [
     "read_each_part",
     "read_if_exists",
     "read_parts",
-    "spread_rows",
     "with_part_seq",
     "write_csv",
     "write_snapshot",

@@ -60,19 +60,6 @@ def with_part_seq(frame: DataFrame) -> DataFrame:
     return frame.select("*", part_seq(F.col("_metadata.file_path")).alias(SEQ))
 
 
-def spread_rows(frame: DataFrame) -> DataFrame:
-    """Deal the rows out when the scan has too few splits to keep the cores busy.
-
-    A day's parts can be a few files of one row group each, and parsing JSON
-    costs more than moving it. A scan with splits enough is returned as it is,
-    so large inputs are never shuffled by this.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() * 2 > cores:
-        return frame
-    return frame.repartition(cores)
-
-
 def list_parts(
     spark: SparkSession,
     root: str,

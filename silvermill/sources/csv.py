@@ -8,38 +8,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+def _faithful(reader_or_writer, sep: str):
+    """Values keep their blanks and quotes."""
+    return (
+        reader_or_writer.option("header", True).option("sep", sep).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    )
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     columns: Sequence[str] | None = None,
     sep: str = ",",
     schema: StructType | str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read, and keep only `columns` if given.
 
     Without a schema the types are inferred, which reads the data once more.
+    Values with line breaks need `multi_line`, which reads each file in one task.
     """
-    reader = spark.read.option("header", True).option("sep", sep).option("escape", '"')
+    reader = _faithful(spark.read, sep).option("multiLine", multi_line)
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     frame = reader.csv(path)
     return frame.select(*columns) if columns else frame
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    (df.write.mode(mode).option("header", True).option("sep", sep)
-       .option("escape", '"').csv(path))
+    _faithful(df.write.mode(mode), sep).csv(path)
 
 
-def ingest_csv(spark: SparkSession, source: str, target: str, sep: str = ",") -> None:
-    """Copy a CSV into the object store. Every value stays the text it was."""
-    frame = (spark.read.option("header", True).option("sep", sep)
-             .option("escape", '"').csv(source))
+def ingest_csv(
+    spark: SparkSession, source: str, target: str, sep: str = ",", multi_line: bool = True
+) -> None:
+    """Copy a CSV into the object store. Every value stays the text it was.
+
+    Files are read in one task each, unless `multi_line` is off.
+    """
+    frame = _faithful(spark.read, sep).option("multiLine", multi_line).csv(source)
     write_csv(frame, target, sep)
 
 
 def push_then_pull(
-    spark: SparkSession, source: str, target: str, columns: Sequence[str] | None = None
+    spark: SparkSession, source: str, target: str, columns: Sequence[str] | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Ingest a CSV, then read it back from where it landed."""
-    ingest_csv(spark, source, target)
-    return read_csv(spark, target, columns)
+    ingest_csv(spark, source, target, multi_line=multi_line)
+    return read_csv(spark, target, columns, multi_line=multi_line)

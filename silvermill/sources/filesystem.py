@@ -38,4 +38,5 @@ def move_folder(spark: SparkSession, source: str, target: str) -> None:
     old, files = _open(spark, source)
     new, _ = _open(spark, target)
     files.mkdirs(new.getParent())
-    files.rename(old, new)
+    if not files.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")

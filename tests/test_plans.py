@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from silvermill.operators.upsert import latest_per_key, unmatched_rows, updated_rows, upsert
 from silvermill.plans import catalog
-from silvermill.sources import spread_rows
 from silvermill.tables import SilverTable
 from tests.conftest import rows
 
@@ -82,13 +81,6 @@ def test_a_sentinel_filter_reaches_the_silver_files(spark, tmp_path):
     assert "ReadSchema: struct<movie_id:string,id:int>" in text
 
 
-def test_only_a_scan_with_few_splits_is_spread(spark, tmp_path):
-    few, many = str(tmp_path / "few"), str(tmp_path / "many")
-    spark.range(100).coalesce(1).write.parquet(few)
-    assert "RoundRobinPartitioning" in plan(spread_rows(spark.read.parquet(few)))
-    spark.range(100).repartition(8).write.parquet(many)
-    with settings(spark, spark__sql__files__maxPartitionBytes="500"):
-        assert "Exchange" not in plan(spread_rows(spark.read.parquet(many)))
 
 
 def hot_frame(spark, n):

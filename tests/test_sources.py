@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from silvermill.sources import csv, filesystem
 from silvermill import scratch
 from silvermill.functions import equals, part_glob, today
 from silvermill.operators import quality, rows as row_ops
@@ -184,3 +185,17 @@ def test_sorting_and_previews(spark, capsys):
     shown = capsys.readouterr().out
     assert "only showing top 1 row" in shown and "id: integer" in shown
     assert row_ops.distinct_rows(row_ops.append_union(df, df)).count() == 3
+
+
+def test_csv_keeps_blanks_quotes_and_line_breaks(spark, tmp_path):
+    values = ["  padded  ", 'a "quoted" word', "two\nlines", "comma, and more", " "]
+    frame = spark.createDataFrame(list(enumerate(values)), "id int, value string")
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    csv.write_csv(frame, source)
+    found = csv.push_then_pull(spark, source, target)
+    assert sorted(r.value for r in found.collect()) == sorted(values)
+
+
+def test_a_folder_that_cannot_be_moved_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="missing"):
+        filesystem.move_folder(spark, str(tmp_path / "missing"), str(tmp_path / "to" / "it"))
