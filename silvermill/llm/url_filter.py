@@ -41,12 +41,17 @@ def url_path(url: Column) -> Column:
 #: plain values, so that a broadcast needs no class of this package to be read.
 Level = tuple[np.ndarray, int]
 
+#: A prime over 2^40. Hashes times an odd number of the level, modulo it, give
+#: every level places of its own; keys that meet in one level part in another.
+PRIME = 1099511627791
 
-def holds(level: Level, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+
+def holds(level: Level, depth: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether all bits of the keys with these hashes are set."""
     words, hashes = level
     size = np.int64(len(words) * 64)
     found = np.ones(len(a), bool)
+    a, b = a * (2 * depth + 1) % PRIME, b * (2 * depth + 3) % PRIME
     for i in range(hashes):
         at = (a + np.int64(i) * b) % size
         found &= (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
@@ -57,7 +62,7 @@ def listed(cascade: list[Level], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether the keys with these hashes are listed; exact over the universe."""
     undecided, answer = np.ones(len(a), bool), np.zeros(len(a), bool)
     for depth, level in enumerate(cascade):
-        found = holds(level, a, b)
+        found = holds(level, depth, a, b)
         answer[undecided & ~found] = depth % 2 == 1
         undecided &= found
     answer[undecided] = len(cascade) % 2 == 1
@@ -72,7 +77,7 @@ def _hashes(key: Column) -> list[Column]:
     ]
 
 
-def _build(keys: DataFrame, count: int, rate: float, max_bytes: int) -> Level:
+def _build(keys: DataFrame, depth: int, count: int, rate: float, max_bytes: int) -> Level:
     """From distinct (a, b); the bits are set by the executors."""
     bits = max(64, math.ceil(count * -math.log(rate) / math.log(2) ** 2))
     words = (bits + 63) // 64
@@ -80,7 +85,9 @@ def _build(keys: DataFrame, count: int, rate: float, max_bytes: int) -> Level:
         raise ValueError(f"a filter of {words * 8} bytes is over max_filter_bytes")
     hashes = max(1, round(words * 64 / max(count, 1) * math.log(2)))
     hashes = min(hashes, max(1, math.ceil(-math.log2(rate))))
-    at = F.pmod(F.col("a") + F.col("i") * F.col("b"), F.lit(words * 64))
+    a = F.pmod(F.col("a") * (2 * depth + 1), F.lit(PRIME))
+    b = F.pmod(F.col("b") * (2 * depth + 3), F.lit(PRIME))
+    at = F.pmod(a + F.col("i") * b, F.lit(words * 64))
     rows = (
         keys.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(hashes - 1))).alias("i"))
         .select(F.floor(at / 64).alias("word"), F.expr("1L").alias("one"), (at % 64).cast("int").alias("bit"))
@@ -94,12 +101,12 @@ def _build(keys: DataFrame, count: int, rate: float, max_bytes: int) -> Level:
     return array.view(np.uint64), hashes
 
 
-def _passing(keys: DataFrame, level: Level) -> DataFrame:
+def _passing(keys: DataFrame, level: Level, depth: int) -> DataFrame:
     shared = keys.sparkSession.sparkContext.broadcast(level)
 
     def keep(frames):
         for frame in frames:
-            yield frame[holds(shared.value, frame["a"].to_numpy(), frame["b"].to_numpy())]
+            yield frame[holds(shared.value, depth, frame["a"].to_numpy(), frame["b"].to_numpy())]
 
     return keys.mapInPandas(keep, "a long, b long")
 
@@ -129,9 +136,9 @@ def build_cascade(
     encode, test = inside, outside
     n, target = count, min(rate, count / max(others, 1))
     while n:
-        level = _build(encode, n, target, max_filter_bytes)
+        level = _build(encode, len(levels), n, target, max_filter_bytes)
+        wrong = stored(_passing(test, level, len(levels)), "cascade-wrong")
         levels.append(level)
-        wrong = stored(_passing(test, level), "cascade-wrong")
         encode, test, n, target = wrong, encode, wrong.count(), rate
     return levels
 
