@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from silvermill.functions.checks import all_known
 from silvermill.operators.upsert import matching_rows, newest_with_counts, updated_rows
@@ -111,19 +111,38 @@ def without_replayed(
     target: DataFrame,
     repeated: DataFrame,
     keys: Sequence[str],
-    seq: str,
+    batch: Column,
     null_safe: bool = False,
 ) -> DataFrame:
     """The target less the rows that an earlier try of the same batch inserted
-    for repeated keys: they are no older than the part that has the key first."""
+    for repeated keys. `batch` says of a target row that this batch wrote it."""
     marked = updated_rows(
         target.withColumn("_first", F.lit(None).cast("bigint")),
         repeated.select(*keys, "_first"), keys, null_safe,
     )
-    replayed = F.coalesce(F.col(seq) >= F.col("_first"), F.lit(False))
+    replayed = F.col("_first").isNotNull() & F.coalesce(batch, F.lit(False))
     return marked.where(~replayed).drop("_first")
 
 
+def without_stale(
+    rows: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    null_safe: bool = False,
+) -> DataFrame:
+    """`rows` less those that are older than every target row of their key. A
+    row or a target row without a part is never taken for older or newer."""
+    oldest = target.groupBy(*keys).agg(
+        F.min(F.coalesce(F.col(seq), F.lit(_NO_PART))).alias("_oldest")
+    )
+    marked = updated_rows(
+        rows.withColumn("_oldest", F.lit(None).cast("bigint")), oldest, keys, null_safe
+    )
+    stale = F.coalesce(F.col(seq) < F.col("_oldest"), F.lit(False))
+    return marked.where(~stale).drop("_oldest")
+
+
 def report(offending: DataFrame, keys: Sequence[str]) -> None:
     sample = offending.select(*keys).limit(5).collect()
     if sample:

@@ -292,7 +292,7 @@ def all_sql() -> dict[str, str]:
         "load_replace_sentinel": f"""
             SELECT * FROM ({list_merged("genres")}) AS g
             WHERE NOT (other_key = '-9999' AND movie_id IN (
-                SELECT movie_id FROM ({list_table("genres", revised=True)}) AS b WHERE id <> -9999))""",
+                SELECT movie_id FROM ({list_merged("genres")}) AS b WHERE other_key <> '-9999'))""",
         "append_parts": union(
             f"""SELECT 'spoken_languages' AS table_name, movie_id, iso_639_1 AS other_key, name AS label
                 FROM ({list_table("spoken_languages", revised)}) AS l"""
@@ -345,11 +345,9 @@ def all_sql() -> dict[str, str]:
             ],
         ]),
         "silver_quality": union([
-            quality("movies", movie_rows(), "original_title IS NULL", "FALSE"),
+            quality("movies", MOVIES_MERGED, "other_key IS NULL", "FALSE"),
             quality(
-                "keywords",
-                f"SELECT DISTINCT movie_id, id FROM ({list_table('keywords')}) AS k",
-                "id IS NULL", "id = -9999",
+                "keywords", list_merged("keywords"), "other_key IS NULL", "other_key = '-9999'"
             ),
         ]),
         "malformed_report": union(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from datetime import date
 
 from pyspark import inheritable_thread_target
@@ -75,13 +75,14 @@ def run_pipeline(
 
     With `parallel` above 1, that many tables load at a time, so that one fills
     the cores that the last tasks of another leave idle; a failure then lets the
-    tables that are loading finish and starts no more.
+    tables that are loading finish and starts no more. The error that is raised
+    has the report's rows of the tables that did load in `finished`.
 
     Each table scans only its own columns of the bronze parts, so six tables
     from one source read it about once in all, and nothing needs caching.
     `order_by` names, per table, the columns that decide between rows of one
     part with the same key when `on_duplicate` is "latest". `mixed_types` is
-    for parts whose Parquet types differ: each is then read with its own.
+    for parts whose Parquet types differ: those of one schema share a scan.
     """
     days = None if days is None else list(days)
 
@@ -102,19 +103,37 @@ def run_pipeline(
             )
         return spec.name, spec.source, rows_in, time.monotonic() - started
 
-    if parallel == 1:
-        report = [load(spec) for spec in specs]
-    else:
-        with ThreadPoolExecutor(parallel) as pool:
-            running = [pool.submit(inheritable_thread_target(spark)(load), s) for s in specs]
-            try:
-                report = [each.result() for each in running]
-            except BaseException:
-                pool.shutdown(wait=False, cancel_futures=True)
-                raise
+    report = _load_all(spark, specs, load, parallel)
     return spark.createDataFrame(report, REPORT)
 
 
+def _load_all(
+    spark: SparkSession,
+    specs: Sequence[TableSpec],
+    load: Callable[[TableSpec], tuple],
+    parallel: int,
+) -> list[tuple]:
+    """The report's rows, in the order of the specs."""
+    waiting, running, done = list(enumerate(specs)), {}, {}
+    with ThreadPoolExecutor(parallel) as pool:
+        failed = None
+        while running or (waiting and failed is None):
+            while waiting and len(running) < parallel and failed is None:
+                place, spec = waiting.pop(0)
+                running[pool.submit(inheritable_thread_target(spark)(load), spec)] = place
+            for each in wait(running, return_when=FIRST_COMPLETED).done:
+                place = running.pop(each)
+                if each.exception() is None:
+                    done[place] = each.result()
+                elif failed is None:
+                    failed = each.exception()
+    report = [done[place] for place in sorted(done)]
+    if failed is not None:
+        failed.finished = report
+        raise failed
+    return report
+
+
 def run_daily(
     spark: SparkSession,
     bronze_root: str,
@@ -122,10 +141,14 @@ def run_daily(
     days: Iterable[str | date] | None = None,
     **options,
 ) -> DataFrame:
-    """The whole job: the credits tables, then the movies tables."""
-    return run_pipeline(
-        spark, CREDITS_TABLES + MOVIES_TABLES, bronze_root, silver_root, days, **options
-    )
+    """The whole job: the credits tables, then the movies tables. No movies
+    table starts before all credits tables are loaded, also side by side."""
+    days = None if days is None else list(days)
+    reports = [
+        run_pipeline(spark, stage, bronze_root, silver_root, days, **options)
+        for stage in (CREDITS_TABLES, MOVIES_TABLES)
+    ]
+    return reports[0].unionByName(reports[1])
 
 
 def append_pipeline(

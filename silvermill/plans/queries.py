@@ -404,7 +404,7 @@ def query_silver_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze, silver = new_folder(spark, "bronze"), new_folder(spark, "silver")
     star.write_movies(spark, sf_dir, bronze)
     specs = [catalog.MOVIES, catalog.KEYWORDS]
-    run_pipeline(spark, specs, bronze, silver, ["20240101"], **LATEST)
+    run_pipeline(spark, specs, bronze, silver, **LATEST)
     return silver_quality(spark, silver, specs)
 
 

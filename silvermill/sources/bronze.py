@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from datetime import date
 
@@ -23,12 +24,15 @@ def read_parts(
 ) -> DataFrame | None:
     """All parts of the given days in one scan, or None when there are none.
 
-    The hidden column `_seq` says which part a row came from.
+    The hidden column `_seq` says which part a row came from. Without `schema`,
+    the columns are those of all parts together, whichever file is read first:
+    a Spark job reads the footers, and a part that lacks a column gives NULL.
+    Types that differ between parts are an error; see `read_each_part`.
     """
     pattern = part_glob(root, table, days)
     if not any_match(spark, pattern):
         return None
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
     return with_part_seq(reader.parquet(pattern))
 
 
@@ -38,21 +42,33 @@ def read_each_part(
     table: str,
     days: Iterable[str | date] | None = None,
 ) -> list[DataFrame]:
-    """A frame per part, in load order, each with the types its own files have.
+    """A frame per distinct schema among the parts, each with its own types.
 
     A column can be whole numbers in one part and, for want of a value, floating
-    ones in the next; a single scan needs one type for all. The parts' names
-    come to the driver, their rows do not.
+    ones in the next; a single scan needs one type for all. Parts with the same
+    columns and types share a scan. A column that only other parts have is NULL.
+    The parts' names and footers come to the driver, their rows do not.
     """
     pattern = part_glob(root, table, days)
     if not any_match(spark, pattern):
         return []
     parts = list_parts(spark, root, table, days).orderBy("part_seq").collect()
+    by_schema: dict[str, list[str]] = {}
+    columns = {}
+    for part in parts:
+        path = f"{root}/{table}/{table}_part_{part.part_date}-{part.part_time}.parquet"
+        schema = spark.read.option("mergeSchema", "true").parquet(path).schema
+        by_schema.setdefault(schema.json(), []).append(path)
+        for field in schema.fields:
+            columns.setdefault(field.name, field.dataType)
     return [
-        with_part_seq(spark.read.parquet(
-            f"{root}/{table}/{table}_part_{part.part_date}-{part.part_time}.parquet"
-        ))
-        for part in parts
+        with_part_seq(spark.read.schema(StructType.fromJson(json.loads(text))).parquet(*paths))
+        .select("*", *[
+            F.lit(None).cast(kind).alias(name)
+            for name, kind in columns.items()
+            if name not in {f["name"] for f in json.loads(text)["fields"]}
+        ])
+        for text, paths in by_schema.items()
     ]
 
 

@@ -34,6 +34,29 @@ def subfolders(spark: SparkSession, path: str) -> Iterator[str]:
             yield status.getPath().getName()
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    where, files = _open(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(where) if s.isFile()]
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    where, files = _open(spark, path)
+    files.create(where, True).close()
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file that may already have been copied whole."""
+    old, files = _open(spark, source)
+    new, _ = _open(spark, target)
+    if files.exists(new):
+        files.delete(old, False)
+        return
+    files.mkdirs(new.getParent())
+    if not files.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     old, files = _open(spark, source)
     new, _ = _open(spark, target)

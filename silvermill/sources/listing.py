@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from silvermill.sources.filesystem import any_match
 
@@ -20,9 +22,13 @@ def list_objects(spark: SparkSession, path: str, name_glob: str = "*") -> DataFr
 
 
 def objects_with_prefix(spark: SparkSession, root: str, prefix: str) -> DataFrame:
-    """Files under `root` whose path relative to it starts with `prefix`."""
-    anchor = root.rstrip("/") + "/" + prefix
-    return list_objects(spark, root).where(F.col("path").contains(anchor))
+    """Files under `root` whose path relative to it starts with `prefix`. Only
+    what fits the prefix is listed. Glob characters in it are taken as they are."""
+    plain = re.sub(r"([\[\]{}*?\\,])", r"\\\1", prefix)
+    start = f"{root.rstrip('/')}/{plain}*"
+    if not any_match(spark, start):
+        return list_objects(spark, root).limit(0)
+    return list_objects(spark, start)
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:

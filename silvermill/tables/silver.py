@@ -4,8 +4,14 @@ Rows lie in folders by a hash of the key. An upsert rewrites only the folders
 that hold a row to update, and adds files to those that only gain rows. Rows with a NULL key can never be updated, so
 they lie in folders of their own, one per batch, and are never rewritten.
 
-Two columns of the files are not part of the table: the folder name, which also
-records the number of folders, and `_seq`, the bronze part a row came from.
+Three columns of the files are not part of the table: the folder name, which also
+records the number of folders, `_seq`, the bronze part a row came from, and
+`_batch`, the named batch that last wrote it.
+
+A merge writes its new folders to `.incoming` inside the table, which readers
+skip. Only when they are complete do they replace the old ones, so a driver that
+dies at any point loses nothing: the next write throws an incomplete `.incoming`
+away and finishes a complete one.
 """
 
 from __future__ import annotations
@@ -25,8 +31,16 @@ from silvermill.operators.upsert import (
     without_placeholders,
 )
 from silvermill.sources.bronze import SEQ
+from silvermill.sources.filesystem import (
+    any_match,
+    delete_folder,
+    file_names,
+    mark,
+    move_file,
+    subfolders,
+)
 from silvermill.sources.listing import read_if_exists
-from silvermill.tables.staging import StagedBatch, stage, with_seq
+from silvermill.tables.staging import BATCH, StagedBatch, stage, with_origin
 
 _SLICE_PREFIX = "slice_of_"
 _UNKNOWN = "unknown-"
@@ -37,8 +51,9 @@ class SilverTable:
 
     `slices` is the number of folders of a table that does not exist yet; an
     existing table keeps its own. Aim at slices of some gigabytes. One writer
-    at a time. Each folder is replaced as a whole, but a driver that dies while
-    it replaces them can leave some new and some old: apply the batch again.
+    at a time, and no reader while it swaps folders: `read()` refuses a table
+    that is being swapped, or whose writer died then, until the next write or
+    `recover()` finishes the swap.
     """
 
     def __init__(
@@ -61,22 +76,32 @@ class SilverTable:
         return self._stored() is not None
 
     def read(self) -> DataFrame:
+        if self._swapping():
+            raise RuntimeError(f"{self.path} is half swapped: see recover()")
         stored = self._stored()
         if stored is None:
             raise FileNotFoundError(f"no silver table at {self.path}")
-        return stored.drop(self._slice_column(stored), SEQ)
+        return stored.drop(self._slice_column(stored), SEQ, BATCH)
+
+    def recover(self) -> None:
+        """Finish what a writer that died has begun. Every write does this first."""
+        if self._swapping():
+            self._swap()
+        else:
+            delete_folder(self.spark, self._incoming)
 
     def overwrite(self, df: DataFrame, seq: str | None = None) -> None:
         """Replace the whole table. `df` must not read from it."""
-        self._write(with_seq(df, seq), self.new_slices, "overwrite", "static")
+        self._write(with_origin(df, seq), self.new_slices, "overwrite")
 
     def append(self, df: DataFrame, seq: str | None = None) -> None:
         """Add rows without matching keys; loading a part twice doubles it."""
+        self.recover()
         stored = self._stored()
-        rows = with_seq(df, seq)
+        rows = with_origin(df, seq)
         if stored is not None:
             rows = conform(rows, stored.drop(self._slice_column(stored)))
-        self._write(rows, self._slices(stored), "append", "static")
+        self._write(rows, self._slices(stored), "append")
 
     def apply(
         self,
@@ -100,30 +125,32 @@ class SilverTable:
         files to those that only gain rows; `"touched"` rewrites both, which also
         merges their small files.
         `batch` names the batch: applying it again then replaces what it wrote,
-        also its rows with a NULL key and, given `seq`, new rows that share one.
+        also its rows with a NULL key and new rows that share one.
         """
         if bootstrap not in ("if_missing", "always"):
             raise ValueError(f"bootstrap must be if_missing or always, not {bootstrap!r}")
         if rewrite not in ("matched", "touched"):
             raise ValueError(f"rewrite must be matched or touched, not {rewrite!r}")
+        self.recover()
         stored = self._stored() if bootstrap == "if_missing" else None
         self._check_layout(stored)
         slices = self._slices(stored)
         target = None
+        source = with_origin(source, seq, batch)
         if stored is not None:
             target = stored.drop(self._slice_column(stored))
-            source = conform(with_seq(source, seq), target)
-            seq = SEQ
+            source = conform(source, target)
         staged = stage(
-            source, self.keys, seq, on_duplicate, order_by, self.null_safe_keys,
-            target, self._slice_name(slices), replay=batch is not None,
+            source, self.keys, SEQ, on_duplicate, order_by, self.null_safe_keys,
+            target, self._slice_name(slices),
+            None if batch is None else F.col(BATCH) == batch, newer_only,
         )
         try:
             if target is None:
                 rows = staged.everything()
                 if sentinels:
-                    rows = self._without_placeholders(rows, staged, sentinels)
-                self._write(rows, slices, "overwrite", "static", batch)
+                    rows = self._without_placeholders(rows, sentinels)
+                self._write(rows, slices, "overwrite", batch)
             else:
                 self._merge(stored, staged, slices, sentinels, newer_only, rewrite, batch)
         finally:
@@ -145,7 +172,8 @@ class SilverTable:
         target = stored.where(F.col(column).isin(staged.touched))
         replayed = batch is not None and staged.repeated is not None
         if replayed:
-            target = without_replayed(target, staged.repeated, keys, SEQ, null_safe)
+            ours = F.col(BATCH) == batch
+            target = without_replayed(target, staged.repeated, keys, ours, null_safe)
         matched = matching_rows(target.select(*keys, column), staged.updates, keys, null_safe)
         matched = staged.keep(matched.distinct(), "matched")
 
@@ -162,28 +190,33 @@ class SilverTable:
             staged.updates.where(here), keys, null_safe, accept,
         ).unionByName(rows_without(staged.inserts.where(here), matched, keys, null_safe))
         if sentinels:
-            rows = self._without_placeholders(rows, staged, sentinels)
+            rows = self._without_placeholders(rows, sentinels)
         if staged.unknown is not None:
             rows = rows.unionByName(staged.unknown)
         if rewritten or staged.unknown is not None:
-            self._write(rows, slices, "overwrite", "dynamic", batch)
+            self._replace_folders(rows, slices, batch)
         if set(staged.touched) - set(rewritten):
-            self._write(staged.inserts.where(~here), slices, "append", "static")
+            self._write(staged.inserts.where(~here), slices, "append")
 
     def _without_placeholders(
-        self, rows: DataFrame, staged: StagedBatch, sentinels: dict[str, object]
+        self, rows: DataFrame, sentinels: dict[str, object]
     ) -> DataFrame:
+        """`rows` hold all rows of their parents, those of the table included,
+        so the result does not depend on which batch a real row came with."""
         parents = [k for k in self.keys if k not in sentinels]
         if not parents or set(self.slice_by) - set(parents):
             raise ValueError("to replace sentinel rows, slice the table by its parent key")
         placeholder = F.lit(True)
         for name, value in sentinels.items():
             placeholder = placeholder & F.col(name).eqNullSafe(F.lit(value))
-        real = staged.updates.where(~placeholder)
+        real = rows.where(~placeholder)
         return without_placeholders(rows, real, parents, placeholder)
 
     def _stored(self) -> DataFrame | None:
-        return read_if_exists(self.spark, self.path)
+        stored = read_if_exists(self.spark, self.path)
+        if stored is not None and BATCH not in stored.columns:
+            stored = stored.withColumn(BATCH, F.lit(None).cast("string"))
+        return stored
 
     def _slice_column(self, stored: DataFrame) -> str:
         for name in stored.columns:
@@ -213,13 +246,50 @@ class SilverTable:
             key = F.when(all_known(self.keys), key).otherwise(unknown)
         return key
 
+    @property
+    def _incoming(self) -> str:
+        return f"{self.path}/.incoming"
+
+    def _swapping(self) -> bool:
+        return any_match(self.spark, f"{self._incoming}/_SUCCESS")
+
+    def _replace_folders(self, rows: DataFrame, slices: int, batch: str | None) -> None:
+        """Replace the folders that `rows` fall into, and no others."""
+        self._write(rows, slices, "overwrite", batch, self._incoming)
+        if not self._swapping():
+            mark(self.spark, f"{self._incoming}/_SUCCESS")
+        self._swap()
+        self.spark.catalog.refreshByPath(self.path)
+
+    def _swap(self) -> None:
+        """First all old folders go, then the new files come. Each step can be
+        repeated, and the new files exist all the time. A copy that a store made
+        before it died counts as the move, as its file is then complete."""
+        cleared = f"{self._incoming}/_CLEARED"
+        folders = [name for name in subfolders(self.spark, self._incoming) if "=" in name]
+        if not any_match(self.spark, cleared):
+            for name in folders:
+                delete_folder(self.spark, f"{self.path}/{name}")
+            mark(self.spark, cleared)
+        for name in folders:
+            for file in file_names(self.spark, f"{self._incoming}/{name}"):
+                move_file(
+                    self.spark, f"{self._incoming}/{name}/{file}", f"{self.path}/{name}/{file}"
+                )
+        # _SUCCESS goes last but one, so that a swap stopped here is finished, not
+        # thrown away, and what is thrown away holds no file.
+        for name in folders:
+            delete_folder(self.spark, f"{self._incoming}/{name}")
+        delete_folder(self.spark, f"{self._incoming}/_SUCCESS")
+        delete_folder(self.spark, self._incoming)
+
     def _write(
         self,
         rows: DataFrame,
         slices: int,
         mode: str,
-        partition_mode: str,
         batch: str | None = None,
+        path: str | None = None,
     ) -> None:
         """Rebalanced by slice: small slices share a task, and adaptive
         execution splits a slice that is too large for one."""
@@ -227,6 +297,6 @@ class SilverTable:
         (rows.withColumn(column, self._slice_name(slices, batch))
          .hint("rebalance", F.col(column))
          .write.mode(mode)
-         .option("partitionOverwriteMode", partition_mode)
+         .option("partitionOverwriteMode", "static")
          .partitionBy(column)
-         .parquet(self.path))
+         .parquet(path or self.path))

@@ -13,8 +13,9 @@ from silvermill.operators.parts import (
     newest_of_parts,
     repeated_keys,
     settle_parts,
-    without_replayed,
+    without_stale,
 )
+from silvermill.operators.upsert import matching_rows
 from silvermill.scratch import new_folder
 from silvermill.sources.bronze import SEQ
 from silvermill.sources.filesystem import delete_folder
@@ -52,6 +53,9 @@ class StagedBatch:
             delete_folder(self.spark, folder)
 
 
+BATCH = "_batch"
+
+
 def with_seq(source: DataFrame, seq: str | None) -> DataFrame:
     """The source with its part number in `_seq`, which is NULL if it has none."""
     if seq is None:
@@ -59,6 +63,11 @@ def with_seq(source: DataFrame, seq: str | None) -> DataFrame:
     return source if seq == SEQ else source.withColumnRenamed(seq, SEQ)
 
 
+def with_origin(source: DataFrame, seq: str | None, batch: str | None = None) -> DataFrame:
+    """As above, and with the batch's name in `_batch`."""
+    return with_seq(source, seq).withColumn(BATCH, F.lit(batch).cast("string"))
+
+
 def stage(
     source: DataFrame,
     keys: Sequence[str],
@@ -68,14 +77,17 @@ def stage(
     null_safe: bool = False,
     target: DataFrame | None = None,
     slice_of: Column | None = None,
-    replay: bool = False,
+    written_by_us: Column | None = None,
+    newer_only: bool = False,
 ) -> StagedBatch:
     """Reduce the batch to its newest rows and write them to the shared scratch
     folder, so that the merge reads stable files.
 
     Bronze is read once. It is read again only where there are rows that the
-    reduced batch lacks: rows with a NULL key, or repeated keys. `replay` says
-    that an earlier try of this batch may already be in the target.
+    reduced batch lacks: rows with a NULL key, or repeated keys. Of the latter
+    only their own rows are kept. `written_by_us` says of a target row that an
+    earlier try of this batch wrote it. Under `newer_only`, repeated rows older
+    than the target's cannot update it and so are not ambiguous.
     """
     if on_duplicate not in ("error", "latest"):
         raise ValueError(f"on_duplicate must be error or latest, not {on_duplicate!r}")
@@ -86,7 +98,10 @@ def stage(
     rows = with_seq(source, seq)
     batch = StagedBatch(spark, keys)
     try:
-        _fill(batch, rows, on_duplicate, order_by, null_safe, target, slice_of, replay)
+        _fill(
+            batch, rows, on_duplicate, order_by, null_safe, target, slice_of,
+            written_by_us, newer_only,
+        )
     except BaseException:
         batch.release()
         raise
@@ -101,7 +116,8 @@ def _fill(
     null_safe: bool,
     target: DataFrame | None,
     slice_of: Column | None,
-    replay: bool,
+    written_by_us: Column | None,
+    newer_only: bool,
 ) -> None:
     keys = batch.keys
     known = F.lit(True) if null_safe else all_known(keys)
@@ -119,10 +135,16 @@ def _fill(
     if any(fact["unknown"] for fact in facts):
         batch.unknown = batch.keep(rows.where(any_unknown(keys)), "unknown")
     if on_duplicate == "error" and any((fact["extra"] or 0) > 0 for fact in facts):
-        raw = batch.keep(rows, "raw")
+        several = newest.where(known & (F.col("_extra") > 0)).select(*keys)
+        raw = batch.keep(matching_rows(rows, several, keys, null_safe), "raw")
+        if target is not None:
+            target = matching_rows(target, several, keys, null_safe)
+            if written_by_us is not None:
+                target = target.where(~F.coalesce(written_by_us, F.lit(False)))
+            if newer_only:
+                raw = without_stale(raw, target, keys, SEQ, null_safe)
         batch.repeated = batch.keep(repeated_keys(raw, keys, SEQ, null_safe), "repeated")
-        if replay and target is not None:
-            target = without_replayed(target, batch.repeated, keys, SEQ, null_safe)
         check_parts(batch.repeated, keys, target, null_safe)
         settled = settle_parts(raw, keys, SEQ, null_safe).select(*rows.columns)
-        batch.inserts = batch.keep(settled, "settled")
+        once = newest.where(known & (F.col("_extra") == 0)).select(*rows.columns)
+        batch.inserts = once.unionByName(batch.keep(settled, "settled"))

@@ -1,4 +1,5 @@
 import itertools
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,6 +107,25 @@ def test_tables_side_by_side(spark, roots):
         run_pipeline(spark, specs, bronze, target, ["20240102"], parallel=3)
 
 
+def test_a_failure_side_by_side_starts_no_more(spark, roots):
+    bronze, target = roots
+    write_movies(spark, bronze, "20240101-080000", [movie(1)])
+    started = []
+
+    def open_table(spark, root, spec, slices):
+        started.append(spec.name)
+        if spec.name == "genres":
+            raise OSError("no table")
+        time.sleep(2)
+        return silver_table(spark, root, spec, slices)
+
+    specs = [catalog.GENRES, catalog.KEYWORDS, catalog.SPOKEN_LANGUAGES, catalog.MOVIES]
+    with pytest.raises(OSError, match="no table") as failure:
+        run_pipeline(spark, specs, bronze, target, parallel=2, open_table=open_table)
+    assert sorted(started) == ["genres", "keywords"]
+    assert [row[0] for row in failure.value.finished] == ["keywords"]
+
+
 def test_bootstrap_always_replaces_what_is_there(spark, roots):
     bronze, target = roots
     write_movies(spark, bronze, "20240101-080000", [movie(1), movie(2)])

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from silvermill.operators.parts import AmbiguousKeyError
-from silvermill.tables import SilverTable
+from silvermill.tables import SilverTable, silver
+from silvermill.tables.staging import StagedBatch
 from tests.conftest import rows
 
 KEYS = ("k1", "k2")
@@ -141,6 +142,95 @@ def test_a_late_part_does_not_undo_a_later_one(spark, table):
     assert rows(table.read()) == [(1, "a", "early")]
 
 
+def test_a_late_part_with_a_repeated_key_keeps_the_newer_row(spark, table):
+    schema = SCHEMA + ", seq bigint"
+    table.apply(frame(spark, [(1, "a", "new", 2)], schema), seq="seq", batch="b-0", newer_only=True)
+    late = frame(spark, [(1, "a", "old1", 1), (1, "a", "old2", 1), (2, "b", "p", 1)], schema)
+    for _ in range(2):
+        table.apply(late, seq="seq", batch="b-1", newer_only=True)
+        assert rows(table.read()) == [(1, "a", "new"), (2, "b", "p")]
+    with pytest.raises(AmbiguousKeyError):
+        table.apply(late, seq="seq", batch="b-2")
+
+
+def test_a_repeated_key_writes_only_its_own_rows_again(spark, table, monkeypatch):
+    kept = {}
+    keep = StagedBatch.keep
+
+    def counting(self, df, label):
+        found = keep(self, df, label)
+        kept[label] = found.count()
+        return found
+
+    monkeypatch.setattr(StagedBatch, "keep", counting)
+    table.apply(frame(spark, [(i, "a", "x") for i in range(500)] + [(7, "a", "y")]))
+    assert kept["raw"] == 2 and kept["settled"] == 2
+    assert table.read().count() == 501
+
+
+@pytest.mark.parametrize("stop_at", ["written", "first_cleared", "cleared", "first_moved", "moved"])
+def test_a_stopped_swap_loses_nothing(spark, table, monkeypatch, stop_at):
+    old = [(i, "a", "x") for i in range(40)]
+    table.apply(frame(spark, old))
+    batch = frame(spark, [(i, "a", "y") for i in range(0, 40, 5)])
+    expected = [(i, "a", "y" if i % 5 == 0 else "x") for i in range(40)]
+    expected.sort(key=lambda row: str(row[0]))
+    calls = {"delete": 0, "move": 0}
+
+    class Stopped(Exception):
+        pass
+
+    def stopping(name, real, limit):
+        def run(spark, path, *rest):
+            if "=" in path:
+                calls[name] += 1
+                if calls[name] > limit:
+                    raise Stopped
+            return real(spark, path, *rest)
+        return run
+
+    with monkeypatch.context() as patch:
+        if stop_at == "written":
+            patch.setattr(silver, "delete_folder", stopping("delete", silver.delete_folder, 0))
+        elif stop_at == "first_cleared":
+            patch.setattr(silver, "delete_folder", stopping("delete", silver.delete_folder, 1))
+        elif stop_at == "cleared":
+            patch.setattr(silver, "move_file", stopping("move", silver.move_file, 0))
+        elif stop_at == "first_moved":
+            patch.setattr(silver, "move_file", stopping("move", silver.move_file, 1))
+        else:
+            patch.setattr(silver, "delete_folder", stopping("delete", silver.delete_folder, 4))
+        with pytest.raises(Stopped):
+            table.apply(batch)
+    with pytest.raises(RuntimeError, match="half swapped"):
+        table.read()
+    reopened = SilverTable(spark, table.path, KEYS)
+    reopened.recover()
+    assert rows(reopened.read()) == expected
+    reopened.apply(batch)
+    assert rows(reopened.read()) == expected
+
+
+def test_an_incomplete_write_is_thrown_away(spark, table):
+    table.apply(frame(spark, [(1, "a", "x")]))
+    os.makedirs(f"{table.path}/.incoming/slice_of_4=key-0")
+    table.apply(frame(spark, [(1, "a", "y")]))
+    assert rows(table.read()) == [(1, "a", "y")]
+    assert not os.path.exists(f"{table.path}/.incoming")
+
+
+def test_placeholders_do_not_depend_on_batching(spark, tmp_path):
+    schema = "movie string, id int, seq bigint"
+    parts = [("m1", 5, 1), ("m2", -9999, 1), ("m1", -9999, 2), ("m2", 6, 2), ("m3", -9999, 2)]
+    results = []
+    for name, batches in (("one", [parts]), ("two", [parts[:2], parts[2:]])):
+        made = SilverTable(spark, str(tmp_path / name), ("movie", "id"), ("movie",), slices=4)
+        for batch in batches:
+            made.apply(frame(spark, batch, schema), seq="seq", sentinels={"id": -9999})
+        results.append(rows(made.read()))
+    assert results[0] == results[1] == [("m1", 5), ("m2", 6), ("m3", -9999)]
+
+
 def test_placeholders_go_once_real_rows_come(spark, tmp_path):
     table = SilverTable(spark, str(tmp_path / "t"), ("movie", "id"), slice_by=("movie",), slices=4)
     schema = "movie string, id int, name string"
@@ -148,7 +238,7 @@ def test_placeholders_go_once_real_rows_come(spark, tmp_path):
     table.apply(
         frame(spark, [("a", 7, "real"), ("c", -9999, None)], schema), sentinels={"id": -9999}
     )
-    assert rows(table.read()) == [("a", 7, "real"), ("b", -9999, None), ("c", -9999, None), ("c", 1, "x")]
+    assert rows(table.read()) == [("a", 7, "real"), ("b", -9999, None), ("c", 1, "x")]
     other = SilverTable(spark, str(tmp_path / "o"), ("movie", "id"))
     with pytest.raises(ValueError, match="parent key"):
         other.apply(frame(spark, [("a", 7, "real")], schema), sentinels={"id": -9999})

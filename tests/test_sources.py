@@ -19,6 +19,7 @@ from silvermill.sources import (
     push_then_pull,
     read_csv,
     read_if_exists,
+    read_each_part,
     read_parts,
     write_csv,
     write_snapshot,
@@ -91,6 +92,8 @@ def test_listing(spark, tmp_path):
     assert list_objects(spark, root, "*.parquet").count() == 3
     assert objects_with_prefix(spark, root, "a/x/part").count() == 1
     assert objects_with_prefix(spark, root, "c/").count() == 0
+    assert objects_with_prefix(spark, root, "x/").count() == 0
+    assert objects_with_prefix(spark, root, "a*").count() == 0
 
 
 def test_read_if_exists(spark, tmp_path):
@@ -199,3 +202,27 @@ def test_csv_keeps_blanks_quotes_and_line_breaks(spark, tmp_path):
 def test_a_folder_that_cannot_be_moved_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="missing"):
         filesystem.move_folder(spark, str(tmp_path / "missing"), str(tmp_path / "to" / "it"))
+
+
+@pytest.mark.parametrize("wide_first", [True, False])
+def test_columns_of_all_parts_are_read(spark, tmp_path, wide_first):
+    root = str(tmp_path / "drift")
+    wide = spark.createDataFrame([(1, "x")], "id bigint, extra string")
+    slim = spark.createDataFrame([(2,)], "id bigint")
+    for hour, part in zip(("080000", "090000"), (wide, slim) if wide_first else (slim, wide)):
+        part.coalesce(1).write.parquet(f"{root}/t/t_part_20240101-{hour}.parquet")
+    assert rows(read_parts(spark, root, "t"), "id", "extra") == [(1, "x"), (2, None)]
+
+
+def test_parts_of_one_schema_share_a_scan(spark, tmp_path):
+    root = str(tmp_path / "kinds")
+    parts = [("bigint", 1), ("double", 2.0), ("bigint", 3)]
+    for hour, (kind, value) in enumerate(parts):
+        frame = spark.createDataFrame([(hour, value)], f"id int, v {kind}")
+        if hour == 1:
+            frame = frame.selectExpr("*", "'e' AS extra")
+        frame.coalesce(1).write.parquet(f"{root}/t/t_part_20240101-0{hour}0000.parquet")
+    frames = read_each_part(spark, root, "t")
+    assert len(frames) == 2
+    found = [row for f in frames for row in rows(f.select("id", "v", "extra"))]
+    assert found == [(0, 1, None), (2, 3, None), (1, 2.0, "e")]
