@@ -267,13 +267,17 @@ def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 def search(
     index: AnnIndex, queries: DataFrame, k: int = 20, ratio: float = 1.2, probes: int = 96,
-    query_rows: int = 2048,
+    query_rows: int = 2048, first_probes: int = 8,
 ) -> DataFrame:
     """(query_key, key, score): for each query vector the best vectors found.
 
     `queries` has key and vector. Lists whose centroid is within `ratio` times
     the distance of the nearest are searched, at most `probes`. As many vectors
     are kept as hold k + 1 ids or more.
+
+    The nearest `first_probes` lists are searched first. What they give is a
+    bound for the rest, which give out only vectors that reach it: nothing is
+    lost, and the vectors given out grow with the queries, not with the lists.
     """
     spark = queries.sparkSession
     shared = spark.sparkContext.broadcast((index.centroids, index.near, index.norm))
@@ -288,16 +292,36 @@ def search(
                 found, far = walk_graph(points, centres, graph, probes)
                 keep = np.sqrt(far) <= ratio * np.sqrt(far[:, :1]) + 1e-12
                 row, col = np.nonzero(keep)
-                yield part.iloc[row].assign(list=found[row, col])[["list", "key", "vector"]]
+                yield part.iloc[row].assign(list=found[row, col], place=col)[
+                    ["list", "place", "key", "vector"]
+                ]
 
     routed = stored(
-        queries.mapInPandas(route, "list int, key long, vector array<double>"), "ann-routed"
+        queries.mapInPandas(route, "list int, place int, key long, vector array<double>"),
+        "ann-routed",
+    )
+    nearby = routed.where(F.col("place") < first_probes).withColumn("bound", F.lit(float("-inf")))
+    first = stored(_compared(index, nearby, k, query_rows), "ann-first")
+    place = F.row_number().over(Window.partitionBy("query_key").orderBy(F.desc("score"), "key"))
+    bounds = (
+        first.distinct().withColumn("place", place).where(F.col("place") == k + 1)
+        .select(F.col("query_key").alias("key"), F.col("score").alias("bound"))
     )
+    farther = routed.where(F.col("place") >= first_probes).join(bounds, "key", "left").withColumn(
+        "bound", F.coalesce("bound", F.lit(float("-inf")))
+    )
+    found = first.unionByName(_compared(index, farther, k, query_rows))
+    return found.distinct().withColumn("place", place).where(F.col("place") <= k + 1).drop("place")
+
+
+def _compared(index: AnnIndex, routed: DataFrame, k: int, query_rows: int) -> DataFrame:
+    """(query_key, key, score): per routed query and block of its list, the k + 1
+    best of the vectors that reach the query's bound."""
     # every block of a list meets every part of its queries; neither grows with the list
     parts = routed.groupBy("list").count().select("list", F.ceil(F.col("count") / query_rows).alias("parts"))
     blocks = index.postings.select("list", "blocks").distinct()
     asked = routed.join(parts.join(blocks, "list"), "list").select(
-        "list", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), "key", "vector",
+        "list", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), "key", "vector", "bound",
         F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("block"),
     )
     lists = index.postings.join(parts, "list").select(
@@ -317,21 +341,19 @@ def search(
             q = np.stack(part["vector"])
             rough = q @ x.T
             best = np.argpartition(-rough, min(k, rough.shape[1] - 1), axis=1)[:, : k + 1]
-            row = np.repeat(np.arange(len(q)), best.shape[1])
+            bound = part["bound"].to_numpy()
+            slack = 1e-9 * np.where(np.isfinite(bound), np.abs(bound) + 1, 1)  # rough is rounded otherwise
+            row, col = np.nonzero(np.take_along_axis(rough, best, 1) >= (bound - slack)[:, None])
+            hit = best[row, col]
             out.append(pd.DataFrame({
-                "query_key": part["key"].to_numpy()[row], "key": key[best.ravel()],
-                "score": products(q[row], x[best.ravel()]),
+                "query_key": part["key"].to_numpy()[row], "key": key[hit],
+                "score": products(q[row], x[hit]),
             }))
         return pd.concat(out)
 
-    found = asked.groupBy(*meet).cogroup(lists.groupBy(*meet)).applyInPandas(
+    return asked.groupBy(*meet).cogroup(lists.groupBy(*meet)).applyInPandas(
         compare, "query_key long, key long, score double"
     )
-    best = Window.partitionBy("query_key").orderBy(F.desc("score"), "key")
-    return (
-        found.distinct().withColumn("place", F.row_number().over(best))
-        .where(F.col("place") <= k + 1).drop("place")
-    )
 
 
 def nearest(
