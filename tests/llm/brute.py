@@ -94,3 +94,19 @@ def warc(rows):
         keeper = first[html or ""]
         out.append((i, len(data), digest, "response" if keeper == i else "revisit", None if keeper == i else keeper))
     return out
+
+
+def shared_targets(sizes, weights=(1, 2, 3), repeat=3):
+    """{source: words to take}; what caps leave over is shared anew until none is above."""
+    ranked = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(ranked)}
+    targets, open_, left = {}, set(ranked), float(sum(sizes.values()))
+    while open_:
+        unit = left / sum(weight[s] for s in open_)
+        above = {s for s in open_ if weight[s] * unit > repeat * sizes[s]}
+        if not above:
+            return targets | {s: weight[s] * unit for s in open_}
+        targets |= {s: float(repeat * sizes[s]) for s in above}
+        open_ -= above
+        left -= sum(targets[s] for s in above)
+    return targets
