@@ -217,6 +217,13 @@ def all_sql() -> dict[str, str]:
             SELECT DISTINCT {PART_DATE} AS part_date, {PART_TIME} AS part_time,
                    {PART_SEQ} AS part_seq FROM events""",
         "list_objects": f"SELECT DISTINCT {PART_DATE} AS part_date, TRUE AS has_bytes FROM events",
+        "objects_with_prefix": f"""
+            SELECT DISTINCT {PART_DATE} AS part_date, TRUE AS has_bytes FROM events
+            WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-10'""",
+        "read_parts_drift": """
+            SELECT event_id, event_type, CASE WHEN hour(ts) >= 12 THEN props END AS props,
+                   CASE WHEN hour(ts) < 12 THEN 20240101080000 ELSE 20240101200000 END AS part_seq
+            FROM events""",
         "part_load_counts": f"""
             SELECT part_seq, new_rows,
                    CAST(sum(new_rows) OVER (ORDER BY part_seq) AS BIGINT) AS merged_rows

@@ -158,21 +158,25 @@ def append_pipeline(
     silver_root: str,
     days: Iterable[str | date] | None = None,
     slices: int = 16,
+    open_table: Callable[..., SilverTable | DeltaSilverTable] = silver_table,
 ) -> None:
     """Add the rows of all parts without matching keys; loading twice doubles."""
     days = None if days is None else list(days)
     for spec in specs:
         rows = table_rows(spark, spec, bronze_root, days)
         if rows is not None:
-            silver_table(spark, silver_root, spec, slices).append(rows, seq=SEQ)
+            open_table(spark, silver_root, spec, slices).append(rows, seq=SEQ)
 
 
 def silver_quality(
-    spark: SparkSession, silver_root: str, specs: Sequence[TableSpec]
+    spark: SparkSession,
+    silver_root: str,
+    specs: Sequence[TableSpec],
+    open_table: Callable[..., SilverTable | DeltaSilverTable] = silver_table,
 ) -> DataFrame:
     """The quality report of silver tables: one row and one pass per table."""
     return quality_report({
-        spec.name: (silver_table(spark, silver_root, spec).read(), spec) for spec in specs
+        spec.name: (open_table(spark, silver_root, spec).read(), spec) for spec in specs
     })
 
 

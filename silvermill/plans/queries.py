@@ -25,6 +25,7 @@ from silvermill.sources import (
     SEQ,
     list_objects,
     list_parts,
+    objects_with_prefix,
     push_then_pull,
     read_csv,
     read_parts,
@@ -91,6 +92,27 @@ def query_list_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
+def query_objects_with_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part files of the first nine days of January, by the start of their path."""
+    root = event_parts(spark, sf_dir)
+    found = objects_with_prefix(spark, root, "events/events_part_2024010")
+    return found.where(F.col("path").endswith(".parquet")).select(
+        part_date(F.col("path")).alias("part_date"), (F.col("length") > 0).alias("has_bytes")
+    ).distinct()
+
+
+def query_read_parts_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of which the later one has a column more; it is NULL in the first."""
+    bronze = new_folder(spark, "bronze")
+    events = star.table(spark, sf_dir, "events")
+    morning = F.hour("ts") < 12
+    events.where(morning).drop("props").write.parquet(f"{bronze}/events/events_part_20240101-080000.parquet")
+    events.where(~morning).write.parquet(f"{bronze}/events/events_part_20240101-200000.parquet")
+    return read_parts(spark, bronze, "events").select(
+        "event_id", "event_type", "props", F.col(SEQ).alias("part_seq")
+    )
+
+
 def query_part_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_counts(read_parts(spark, event_parts(spark, sf_dir), "events"))
 

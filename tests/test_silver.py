@@ -323,3 +323,28 @@ def test_delta_merge_calls(spark, tmp_path, monkeypatch):
     source, condition = FakeMerge.calls[1][1]
     assert source.columns == ["k1", "k2", "v"]
     assert "k1" in str(condition) and "k2" in str(condition)
+    FakeMerge.calls = []
+    table.apply(frame(spark, [("y", "a", 1)], "v string, k2 string, k1 int"))
+    assert FakeMerge.calls[1][1][0].dtypes == frame(spark, []).dtypes
+    for option in ({"newer_only": True}, {"batch": "b"}, {"sentinels": {"k1": 0}}, {"rewrite": "touched"}):
+        FakeMerge.calls = []
+        with pytest.raises(ValueError, match=f"cannot take {next(iter(option))}"):
+            table.apply(frame(spark, [(1, "a", "x")]), **option)
+        assert not FakeMerge.calls
+
+
+def test_append_and_quality_take_an_opened_table(spark, tmp_path):
+    from silvermill.plans.catalog import GENRES
+    from silvermill.plans.pipeline import append_pipeline, silver_quality, silver_table
+    from silvermill.plans.star import write_movies
+
+    opened = []
+
+    def open_table(*args):
+        opened.append(args[2].name)
+        return silver_table(*args)
+
+    write_movies(spark, "/root/testdata/sf0.001", str(tmp_path / "bronze"))
+    append_pipeline(spark, [GENRES], str(tmp_path / "bronze"), str(tmp_path / "silver"), open_table=open_table)
+    report = silver_quality(spark, str(tmp_path / "silver"), [GENRES], open_table=open_table)
+    assert report.count() == 1 and opened == ["genres", "genres"]
