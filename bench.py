@@ -37,6 +37,7 @@ HEADLINE = (
     "upsert_dup_target",
     "upsert_latest",
     "upsert_parts",
+    "load_movies",
     "silver_merge",
     "append_load",
     "stream_ingest",
