@@ -21,16 +21,15 @@ import numpy as np
 import pandas as pd
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Tokenizer
 
 from silvermill.llm.text import whole_text
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
-def byte_ranks(vocabulary: str) -> dict[bytes, int]:
-    """The byte-level vocabulary in a JSON tokenizer file, ids as merge ranks."""
-    with open(vocabulary, encoding="utf-8") as file:
-        content = json.load(file)
+def byte_ranks(content: dict) -> dict[bytes, int]:
+    """The byte-level vocabulary of a tokenizer's JSON, ids as merge ranks."""
     byte_of, spare = {}, 256
     for value in range(256):
         plain = 33 <= value <= 126 or 161 <= value <= 172 or 174 <= value <= 255
@@ -43,6 +42,34 @@ def byte_ranks(vocabulary: str) -> dict[bytes, int]:
     }
 
 
+class LibraryEncoder:
+    """The ids that `tokenizers` gives by encode(text, add_special_tokens=False).
+
+    tiktoken, with the merges as ranks, gives the same ids several times as fast,
+    but for texts that hold an added token, which it takes for ordinary text, and
+    for those on which its pattern fails (some 1,000,000 blanks in a row). These
+    go to the library itself.
+    """
+
+    def __init__(self, content: str, pattern: str):
+        parsed = json.loads(content)
+        self.content, self.library = content, None
+        self.added = [token["content"] for token in parsed["added_tokens"]]
+        self.fast = tiktoken.Encoding(
+            "bytes", pat_str=pattern, mergeable_ranks=byte_ranks(parsed), special_tokens={}
+        )
+
+    def __call__(self, text: str) -> np.ndarray:
+        if not any(token in text for token in self.added):
+            try:
+                return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4")
+            except ValueError:  # the pattern ran out of stack
+                pass
+        if self.library is None:
+            self.library = Tokenizer.from_str(self.content)
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+
+
 def cut_pieces(length: int, capacity: int) -> np.ndarray:
     """Starts of the pieces of `length` tokens: all but the first are full."""
     first = (length - 1) % capacity + 1
@@ -62,27 +89,24 @@ def token_pieces(
     their pieces again.
 
     The ids are those of the `tokenizers` library for the JSON file
-    `vocabulary`, made four times as fast by its merges as ranks (tests compare
-    them). Strings of special tokens are ordinary text. The vocabulary, some
-    50,000 entries, is read by the driver and broadcast.
+    `vocabulary` (see `LibraryEncoder`); a special token in a text is its one id.
+    The vocabulary, some 50,000 entries, is read by the driver and broadcast.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, {PIECES}"
     schema += ", ids array<int>" * keep_ids
 
-    ranks = docs.sparkSession.sparkContext.broadcast(byte_ranks(vocabulary))
+    with open(vocabulary, encoding="utf-8") as file:
+        content = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = tiktoken.Encoding(
-            "bytes", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={}
-        )
+        encode = LibraryEncoder(content.value, pattern)
         end = np.array([end_id], "<u4")
         for frame in frames:
             out = []
             for number, text in zip(frame["doc_id"], frame["text"]):
-                ids = encoder.encode_to_numpy(text, disallowed_special=())
-                ids = np.concatenate([ids.astype("<u4"), end])
+                ids = np.concatenate([encode(text), end])
                 starts = cut_pieces(len(ids), capacity)
                 for piece, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
                     row = (number, piece, a, b - a, zlib.crc32(ids[a:b].tobytes()))

@@ -48,6 +48,18 @@ def test_pieces_are_those_of_the_library(spark, whole):
     assert joined == {n: len(ids) * (2 if n == 6 else 1) for n, ids in whole.items()}
 
 
+@pytest.mark.parametrize("text", [
+    "one<|endoftext|>two  <|endoftext|>", "<|endoftext|>", "<|endoftext|", "a" + " " * 1_000_000 + "b",
+    "\n" * 1_000_000,
+], ids=["inside", "alone", "broken", "blanks", "lines"])
+def test_special_tokens_and_long_runs_are_as_in_the_library(spark, text):
+    ids = [*Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids, 2]
+    pieces = token_pieces(docs(spark, [(1, text)]), VOCABULARY, public_tokenizers.PATTERN, capacity=1 << 21)
+    assert [(p.start, p.length, p.ids_crc32) for p in pieces.collect()] == [
+        (0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    ]
+
+
 @pytest.mark.parametrize("rule", ["residual_norm", "dot_product"])
 def test_every_constraint_holds_and_nothing_is_lost(spark, rule):
     draw = np.random.default_rng(3)
