@@ -5,8 +5,9 @@ sample gives centroids, which stay in memory as a neighbourhood graph. Every
 vector goes to the list of its nearest centroid, and to further lists whose
 centroids are nearly as near, unless one already chosen lies closer to them than
 the vector does. A query walks the graph, keeps the lists whose centroids are
-within a ratio of the nearest one's distance, and compares itself with all of
-their vectors in double precision.
+within a ratio of the nearest one's distance (or of the distance by which lists
+hold as many vectors as are asked for), and compares itself with all of their
+vectors in double precision.
 
 Inner products become distances by one more coordinate: with M the greatest norm,
 a vector x gets sqrt(M^2 - |x|^2) and a query 0, so that the nearest is the one
@@ -166,13 +167,15 @@ def lists_of_vectors(
 @dataclass(frozen=True)
 class AnnIndex:
     """`vectors`: (key, vector, ids), each vector once; `postings`: (list, block,
-    blocks, key, vector). Both are tables in the shared folder."""
+    blocks, key, least, vector), `least` the smallest id. Both are tables in the
+    shared folder. `counts`: how many vectors have a list as their nearest."""
 
     vectors: DataFrame
     postings: DataFrame
     centroids: np.ndarray
     near: np.ndarray
     norm: float
+    counts: np.ndarray
 
 
 def usable_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -218,9 +221,10 @@ def build_index(
     if not facts.n:
         none = np.zeros((0, 0))
         empty = vectors.select(
-            F.lit(0).alias("list"), F.lit(0).alias("block"), F.lit(1).alias("blocks"), "key", "vector"
+            F.lit(0).alias("list"), F.lit(0).alias("block"), F.lit(1).alias("blocks"), "key",
+            F.col("ids")[0].alias("least"), "vector",
         )
-        return AnnIndex(vectors, empty, none, none, 0.0)
+        return AnnIndex(vectors, empty, none, none, 0.0, np.zeros(0, np.int64))
     norm = float(np.sqrt(facts.norm2))
     sample = vectors.orderBy(F.xxhash64("key"), "vector").limit(max_sample).select("vector").toPandas()
     points = raised(np.stack(sample["vector"]), norm)
@@ -238,17 +242,24 @@ def build_index(
                     raised(np.stack(part["vector"]), top), centres, graph, ratio, replicas, width
                 ))
                 row, number = np.array([p[0] for p in places]), np.array([p[1] for p in places])
-                yield part.iloc[row].assign(list=number)[["list", "key", "vector"]]
+                own = np.concatenate([[True], row[1:] != row[:-1]])  # the nearest comes first
+                yield part.iloc[row].assign(list=number, own=own)[["list", "own", "key", "least", "vector"]]
 
+    kind = usable.schema["id"].dataType.simpleString()
     dealt = stored(
-        vectors.select("key", "vector").mapInPandas(deal, "list int, key long, vector array<double>"),
+        vectors.select("key", F.col("ids")[0].alias("least"), "vector").mapInPandas(
+            deal, f"list int, own boolean, key long, least {kind}, vector array<double>"
+        ),
         "ann-postings",
     )
+    counts = np.zeros(len(centroids), np.int64)
+    for row in dealt.where("own").groupBy("list").count().collect():
+        counts[row["list"]] = row["count"]
     sizes = dealt.groupBy("list").count().withColumn("blocks", F.ceil(F.col("count") / block_rows))
     postings = dealt.join(sizes, "list").withColumn(
         "block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    ).select("list", "block", "blocks", "key", "vector")
-    return AnnIndex(vectors, postings, centroids, near, norm)
+    ).select("list", "block", "blocks", "key", "least", "vector")
+    return AnnIndex(vectors, postings, centroids, near, norm, counts)
 
 
 def raised(vectors: np.ndarray, norm: float) -> np.ndarray:
@@ -265,6 +276,36 @@ def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return total
 
 
+def lists_of_queries(
+    points: np.ndarray, index_memory: tuple, k: int, ratio: float, probes: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, list, place) of the lists to search, nearest first.
+
+    Lists count with the vectors they are the nearest of, so that several hold
+    at least as many different vectors as the sum. The nearest that hold k + 1
+    are searched, however many they are; further ones within `ratio` of the
+    distance of the last of these, at most `probes` in all.
+    """
+    centres, graph, counts = index_memory
+    wanted = min(k + 1, int(counts.sum()))
+    found, far = walk_graph(points, centres, graph, probes)
+    short = np.flatnonzero(counts[found].sum(axis=1) < wanted)
+    rows, lists, places = [], [], []
+    for i in range(len(points)):
+        mine, away = found[i], far[i]
+        if i in short:  # the lists at hand do not suffice: all of them, in order
+            away = squared_distances(points[i : i + 1], centres)[0]
+            mine = np.argsort(away, kind="stable")
+            away = away[mine]
+        enough = int(np.searchsorted(np.cumsum(counts[mine]), wanted)) + 1
+        within = np.sqrt(away) <= ratio * np.sqrt(away[enough - 1]) + 1e-12
+        kept = max(enough, min(probes, int(within.sum())))
+        rows.append(np.full(kept, i))
+        lists.append(mine[:kept])
+        places.append(np.arange(kept))
+    return np.concatenate(rows), np.concatenate(lists), np.concatenate(places)
+
+
 def search(
     index: AnnIndex, queries: DataFrame, k: int = 20, ratio: float = 1.2, probes: int = 96,
     query_rows: int = 2048, first_probes: int = 8,
@@ -272,27 +313,26 @@ def search(
     """(query_key, key, score): for each query vector the best vectors found.
 
     `queries` has key and vector. Lists whose centroid is within `ratio` times
-    the distance of the nearest are searched, at most `probes`. As many vectors
-    are kept as hold k + 1 ids or more.
+    the distance of the nearest are searched, at most `probes`; but always as
+    many of the nearest as hold k + 1 vectors. As many vectors are kept as hold
+    k + 1 ids or more.
 
     The nearest `first_probes` lists are searched first. What they give is a
     bound for the rest, which give out only vectors that reach it: nothing is
     lost, and the vectors given out grow with the queries, not with the lists.
     """
     spark = queries.sparkSession
-    shared = spark.sparkContext.broadcast((index.centroids, index.near, index.norm))
+    shared = spark.sparkContext.broadcast((index.centroids, index.near, index.counts))
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        centres, graph, _ = shared.value
+        memory = shared.value
         for frame in frames:
             for at in range(0, len(frame), 256):
                 part = frame.iloc[at : at + 256]
                 points = np.stack(part["vector"])
                 points = np.concatenate([points, np.zeros((len(points), 1))], axis=1)
-                found, far = walk_graph(points, centres, graph, probes)
-                keep = np.sqrt(far) <= ratio * np.sqrt(far[:, :1]) + 1e-12
-                row, col = np.nonzero(keep)
-                yield part.iloc[row].assign(list=found[row, col], place=col)[
+                row, number, place = lists_of_queries(points, memory, k, ratio, probes)
+                yield part.iloc[row].assign(list=number, place=place)[
                     ["list", "place", "key", "vector"]
                 ]
 

@@ -56,3 +56,22 @@ def test_fewer_candidates_than_asked_for(spark):
 def test_no_usable_vector(spark):
     assert found(spark, [(1, None), (2, [0.0, 0.0])], 3) == {}
     assert found(spark, [], 3) == {}
+
+
+def test_small_clusters_far_apart_get_all_their_neighbours(spark):
+    draw = np.random.default_rng(8)
+    points = np.zeros((500, 6))
+    points[:490, 0] = points[490:, 1] = 10
+    data = list(enumerate((points + 0.01 * draw.normal(size=points.shape)).tolist()))
+    table = spark.createDataFrame(data, SCHEMA)
+    hits = ann.nearest(ann.build_index(table), table, k=20).groupBy("query_id").count().collect()
+    assert len(hits) == 500 and {row["count"] for row in hits} == {20}
+
+
+def test_lists_are_added_until_they_hold_enough():
+    centres = np.arange(12.0)[:, None] * 10
+    counts = np.array([1, 0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 1])
+    memory = centres, ann.centroid_graph(centres, degree=2), counts
+    row, number, _ = ann.lists_of_queries(np.array([[0.0], [112.0]]), memory, 3, 1.0, 2)
+    assert list(number[row == 0]) == [0, 1, 2, 3, 4, 5, 6]
+    assert list(number[row == 1]) == [11, 10, 9, 8, 7, 6]
