@@ -276,6 +276,10 @@ def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return total
 
 
+def default_probes(lists: int) -> int:
+    return max(96, -(-lists // 2))
+
+
 def lists_of_queries(
     points: np.ndarray, index_memory: tuple, k: int, ratio: float, probes: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -288,7 +292,12 @@ def lists_of_queries(
     """
     centres, graph, counts = index_memory
     wanted = min(k + 1, int(counts.sum()))
-    found, far = walk_graph(points, centres, graph, probes)
+    if 4 * probes >= len(centres):  # so wide a walk costs more than a look at all
+        far = squared_distances(points, centres)
+        found = np.argsort(far, axis=1, kind="stable")
+        far = np.take_along_axis(far, found, 1)
+    else:
+        found, far = walk_graph(points, centres, graph, probes)
     short = np.flatnonzero(counts[found].sum(axis=1) < wanted)
     rows, lists, places = [], [], []
     for i in range(len(points)):
@@ -307,15 +316,16 @@ def lists_of_queries(
 
 
 def search(
-    index: AnnIndex, queries: DataFrame, k: int = 20, ratio: float = 1.2, probes: int = 96,
+    index: AnnIndex, queries: DataFrame, k: int = 20, ratio: float = 1.2, probes: int | None = None,
     query_rows: int = 2048, first_probes: int = 8,
 ) -> DataFrame:
     """(query_key, key, score): for each query vector the best vectors found.
 
     `queries` has key and vector. Lists whose centroid is within `ratio` times
     the distance of the nearest are searched, at most `probes`; but always as
-    many of the nearest as hold k + 1 vectors. As many vectors are kept as hold
-    k + 1 ids or more.
+    many of the nearest as hold k + 1 vectors. `probes` is half of the lists and
+    96 at least: a fixed number loses recall as lists grow in number. As many
+    vectors are kept as hold k + 1 ids or more.
 
     The nearest `first_probes` lists are searched first. What they give is a
     bound for the rest, which give out only vectors that reach it: nothing is
@@ -323,6 +333,7 @@ def search(
     """
     spark = queries.sparkSession
     shared = spark.sparkContext.broadcast((index.centroids, index.near, index.counts))
+    probes = probes or default_probes(len(index.centroids))
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory = shared.value
@@ -331,15 +342,13 @@ def search(
                 part = frame.iloc[at : at + 256]
                 points = np.stack(part["vector"])
                 points = np.concatenate([points, np.zeros((len(points), 1))], axis=1)
-                row, number, place = lists_of_queries(points, memory, k, ratio, probes)
-                yield part.iloc[row].assign(list=number, place=place)[
-                    ["list", "place", "key", "vector"]
-                ]
+                _, number, place = lists_of_queries(points, memory, k, ratio, probes)
+                each = np.split(number, np.flatnonzero(place == 0)[1:])
+                yield part.assign(lists=pd.Series(each, index=part.index))[["lists", "key", "vector"]]
 
     routed = stored(
-        queries.mapInPandas(route, "list int, place int, key long, vector array<double>"),
-        "ann-routed",
-    )
+        queries.mapInPandas(route, "lists array<int>, key long, vector array<double>"), "ann-routed"
+    ).select(F.posexplode("lists").alias("place", "list"), "key", "vector")
     nearby = routed.where(F.col("place") < first_probes).withColumn("bound", F.lit(float("-inf")))
     first = stored(_compared(index, nearby, k, query_rows), "ann-first")
     place = F.row_number().over(Window.partitionBy("query_key").orderBy(F.desc("score"), "key"))

@@ -75,3 +75,19 @@ def test_lists_are_added_until_they_hold_enough():
     row, number, _ = ann.lists_of_queries(np.array([[0.0], [112.0]]), memory, 3, 1.0, 2)
     assert list(number[row == 0]) == [0, 1, 2, 3, 4, 5, 6]
     assert list(number[row == 1]) == [11, 10, 9, 8, 7, 6]
+
+
+def test_recall_with_many_lists():
+    points = np.random.default_rng(9).normal(size=(8000, 64))
+    raised = ann.raised(points, np.sqrt((points * points).sum(1).max()))
+    centres = ann.balanced_centroids(raised, 500)
+    label = ann.squared_distances(raised, centres).argmin(axis=1)
+    memory = centres, ann.centroid_graph(centres), np.bincount(label, minlength=500)
+    asked = np.concatenate([points[:100], np.zeros((100, 1))], axis=1)
+    best = np.argsort(-points[:100] @ points.T, axis=1)[:, :21]
+
+    def recall(probes):
+        row, number, _ = ann.lists_of_queries(asked, memory, 20, 1.2, probes)
+        return np.mean([np.isin(label[best[i]], number[row == i]).mean() for i in range(100)])
+
+    assert recall(96) < 0.8 and recall(ann.default_probes(500)) > 0.9
