@@ -351,7 +351,7 @@ def search(
     ).select(F.posexplode("lists").alias("place", "list"), "key", "vector")
     nearby = routed.where(F.col("place") < first_probes).withColumn("bound", F.lit(float("-inf")))
     first = stored(_compared(index, nearby, k, query_rows), "ann-first")
-    place = F.row_number().over(Window.partitionBy("query_key").orderBy(F.desc("score"), "key"))
+    place = F.row_number().over(Window.partitionBy("query_key").orderBy(F.desc("score"), "least"))
     bounds = (
         first.distinct().withColumn("place", place).where(F.col("place") == k + 1)
         .select(F.col("query_key").alias("key"), F.col("score").alias("bound"))
@@ -360,12 +360,12 @@ def search(
         "bound", F.coalesce("bound", F.lit(float("-inf")))
     )
     found = first.unionByName(_compared(index, farther, k, query_rows))
-    return found.distinct().withColumn("place", place).where(F.col("place") <= k + 1).drop("place")
+    return found.distinct().withColumn("place", place).where(F.col("place") <= k + 1).drop("place", "least")
 
 
 def _compared(index: AnnIndex, routed: DataFrame, k: int, query_rows: int) -> DataFrame:
-    """(query_key, key, score): per routed query and block of its list, the k + 1
-    best of the vectors that reach the query's bound."""
+    """(query_key, key, least, score): per routed query and block of its list, the
+    k + 1 best of the vectors that reach the query's bound, ties to the smaller id."""
     # every block of a list meets every part of its queries; neither grows with the list
     parts = routed.groupBy("list").count().select("list", F.ceil(F.col("count") / query_rows).alias("parts"))
     blocks = index.postings.select("list", "blocks").distinct()
@@ -374,34 +374,43 @@ def _compared(index: AnnIndex, routed: DataFrame, k: int, query_rows: int) -> Da
         F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("block"),
     )
     lists = index.postings.join(parts, "list").select(
-        "list", "block", "key", "vector",
+        "list", "block", "key", "least", "vector",
         F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))).alias("part"),
     )
     meet = ["list", "block", "part"]
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_key": [], "key": [], "score": []})
+            return pd.DataFrame({"query_key": [], "key": [], "least": [], "score": []})
+        right = right.sort_values("least")
         x = np.stack(right["vector"])
-        key = right["key"].to_numpy()
+        key, least = right["key"].to_numpy(), right["least"].to_numpy()
+        reach = 4 * x.shape[1] * np.finfo(float).eps * np.sqrt((x * x).sum(1).max())
         out = []
         for at in range(0, len(left), 512):
             part = left.iloc[at : at + 512]
-            q = np.stack(part["vector"])
+            q, asker, bound = np.stack(part["vector"]), part["key"].to_numpy(), part["bound"].to_numpy()
             rough = q @ x.T
-            best = np.argpartition(-rough, min(k, rough.shape[1] - 1), axis=1)[:, : k + 1]
-            bound = part["bound"].to_numpy()
-            slack = 1e-9 * np.where(np.isfinite(bound), np.abs(bound) + 1, 1)  # rough is rounded otherwise
-            row, col = np.nonzero(np.take_along_axis(rough, best, 1) >= (bound - slack)[:, None])
-            hit = best[row, col]
-            out.append(pd.DataFrame({
-                "query_key": part["key"].to_numpy()[row], "key": key[hit],
-                "score": products(q[row], x[hit]),
-            }))
+            if rough.shape[1] > k + 1:
+                bound = np.maximum(bound, -np.partition(-rough, k, axis=1)[:, k])
+            slack = reach * np.sqrt((q * q).sum(1))  # rough is rounded otherwise
+            near = rough >= (bound - slack)[:, None]
+            for some in np.array_split(np.arange(len(part)), min(len(part), 1 + near.sum() // 100_000)):
+                row, hit = np.nonzero(near[some])  # with all that tie for the last place
+                row = some[row]
+                score = products(q[row], x[hit])
+                order = np.lexsort((hit, -score, row))
+                row, hit, score = row[order], hit[order], score[order]
+                best = np.arange(len(row)) - np.searchsorted(row, row) <= k
+                out.append(pd.DataFrame({
+                    "query_key": asker[row[best]], "key": key[hit[best]],
+                    "least": least[hit[best]], "score": score[best],
+                }))
         return pd.concat(out)
 
+    kind = index.postings.schema["least"].dataType.simpleString()
     return asked.groupBy(*meet).cogroup(lists.groupBy(*meet)).applyInPandas(
-        compare, "query_key long, key long, score double"
+        compare, f"query_key long, key long, least {kind}, score double"
     )
 
 

@@ -91,3 +91,8 @@ def test_recall_with_many_lists():
         return np.mean([np.isin(label[best[i]], number[row == i]).mean() for i in range(100)])
 
     assert recall(96) < 0.8 and recall(ann.default_probes(500)) > 0.9
+
+
+def test_different_vectors_of_one_score_go_to_the_smaller_ids(spark):
+    data = [(i, [float(j == i % 60) * (1 + i // 60) for j in range(60)]) for i in range(120)]
+    assert found(spark, data, 5) == brute(data, 5)
