@@ -126,6 +126,39 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
+RANKED_SEARCH = r"""
+WITH doc_terms AS (
+    SELECT rowid AS row, doc_id, unnest(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT *, row_number() OVER () AS rowid FROM documents)
+), tfs AS (
+    SELECT row, doc_id, term, count(*)::BIGINT AS tf FROM doc_terms GROUP BY ALL
+), sizes AS (
+    SELECT row, sum(tf)::BIGINT AS n FROM tfs GROUP BY row
+), facts AS (
+    SELECT count(*)::BIGINT AS N_docs, sum(n)::BIGINT AS L FROM sizes
+), dfs AS (
+    SELECT term, count(*)::BIGINT AS df FROM tfs GROUP BY term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * N_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM dfs, facts
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), scored AS (
+    SELECT a.item_id, t.row, t.doc_id,
+           sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (10 + (90 * s.n * f.N_docs) // f.L))))::BIGINT AS score
+    FROM asked a JOIN weights w USING (term) JOIN tfs t USING (term) JOIN sizes s USING (row), facts f
+    GROUP BY a.item_id, t.row, t.doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 
 def llm_sql() -> dict[str, str]:
     return {
@@ -133,4 +166,5 @@ def llm_sql() -> dict[str, str]:
         "op3_line_dedup": LINE_DEDUP,
         "op7_mixing": MIXING,
         "op10_url_filter": URL_FILTER,
+        "op13_ranked_search": RANKED_SEARCH,
     }

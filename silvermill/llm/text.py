@@ -69,13 +69,14 @@ _SOLID[[32, 9, 10, 11, 12, 13]] = False
 _FACTORS = _multipliers(4096)
 
 
-def word_hashes(text: str | None) -> np.ndarray:
+def word_hashes(text: str | None, solid_bytes: np.ndarray = _SOLID) -> np.ndarray:
     """The words' 64-bit hashes in their order, as uint64.
 
     A word's hash is the sum of its bytes, each times a factor of its place.
+    `solid_bytes` says of each byte whether it belongs to a word.
     """
     raw = _LOWER[np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)]
-    solid = _SOLID[raw]
+    solid = solid_bytes[raw]
     at = np.flatnonzero(solid)
     if not len(at):
         return np.zeros(0, np.uint64)
