@@ -46,7 +46,8 @@ BITS_A_KEY = 12
 LEVELS = 10
 #: Beyond this width a signature only gets denser, and its bounds looser.
 WIDEST = 1 << 20
-BLOCK_BITS = 1 << 25
+BLOCK_BITS = 1 << 23
+_HALF, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
 
 
 def term_hashes(text: str | None) -> np.ndarray:
@@ -74,14 +75,21 @@ def level_keys(terms: np.ndarray, level: int) -> np.ndarray:
 
 
 def signature_keys(terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
-    keys = [level_keys(terms[tf >= 1 << level], level) for level in range(LEVELS)]
+    keys = [terms]
+    for level in range(1, LEVELS):
+        often = tf >= 1 << level
+        terms, tf = terms[often], tf[often]
+        if not len(terms):
+            break
+        keys.append(level_keys(terms, level))
     return np.concatenate(keys)
 
 
 def signature_bits(keys: np.ndarray, width: int) -> np.ndarray:
-    """The places of each key's bits, one row for each hash."""
-    hashes = [mix(keys ^ np.uint64(j * 0xD1B54A33)) >> np.uint64(32) for j in range(1, HASHES + 1)]
-    return np.stack([((h * np.uint64(width)) >> np.uint64(32)).astype(np.int64) for h in hashes])
+    """The places of each key's bits, one row for each hash: a walk with a step of the key's own."""
+    spread = mix(keys)
+    walk = (spread >> _HALF) + np.arange(HASHES, dtype=np.uint64)[:, None] * (spread & _LOW | np.uint64(1))
+    return (((walk & _LOW) * np.uint64(width)) >> _HALF).astype(np.int64)
 
 
 def width_class(keys: int) -> int:
@@ -156,8 +164,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 terms, tf = np.unique(hashes, return_counts=True)
                 found.append(terms)
                 keys = signature_keys(terms, tf)
-                width = width_class(len(keys))
-                block = blocks.setdefault(width, _Block(width))
+                size = width_class(len(keys))
+                if size not in blocks:
+                    blocks[size] = _Block(size)
+                block = blocks[size]
                 block.add(None if pd.isna(doc_id) else doc_id, a, b, len(hashes), keys)
                 if len(block.ids) == block.room:
                     full.append(block.packed())
