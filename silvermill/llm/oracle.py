@@ -159,6 +159,50 @@ WITH doc_terms AS (
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
 
+PREFIX_TRIE = r"""
+WITH RECURSIVE ids AS (
+    SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL
+), steps AS (
+    SELECT conv_id, encode(conv_id::VARCHAR) AS bytes, 0 AS i, 4294967295::BIGINT AS c FROM ids
+    UNION ALL
+    SELECT conv_id, bytes, i + 1, list_reduce(
+               list_prepend(xor(c, ascii(substr(conv_id::VARCHAR, i + 1, 1))::BIGINT), range(1, 9)),
+               lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)
+    FROM steps WHERE i < length(conv_id::VARCHAR)
+), heads AS (
+    SELECT conv_id, xor(c, 4294967295::BIGINT) % 4 AS h FROM steps WHERE i = length(conv_id::VARCHAR)
+), turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p,
+           {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t
+    FROM conversations WHERE conv_id IS NOT NULL
+), lists AS (
+    SELECT conv_id, list(t ORDER BY p) AS l FROM turns GROUP BY conv_id
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.l[:h], []), c.l[h + 1:]) AS l
+    FROM lists c JOIN heads USING (conv_id) LEFT JOIN lists b ON b.conv_id = c.conv_id - c.conv_id % 20
+), prefixes AS (
+    SELECT conv_id, d AS depth, l[:d] AS prefix, len(l) AS n FROM rebuilt, unnest(range(0, len(l) + 1)) AS u(d)
+), nodes AS (
+    SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256,
+           CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(prefix[depth].text, '[^\x20\x09-\x0D]+')) END AS words
+    FROM prefixes GROUP BY depth, prefix
+), below AS (
+    SELECT p.depth, p.prefix, count(*) AS n FROM nodes c JOIN nodes p ON c.depth = p.depth + 1 AND c.prefix[:p.depth] = p.prefix
+    GROUP BY ALL
+), counted AS (
+    SELECT nodes.*, coalesce(below.n, 0) AS n_children FROM nodes LEFT JOIN below USING (depth, prefix)
+), subtrees AS (
+    SELECT d AS depth, prefix[:d] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves,
+           sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+    FROM counted, unnest(range(0, depth + 1)) AS u(d) GROUP BY ALL
+)
+SELECT c.conv_id, c.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+       s.n_leaves, s.saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees s USING (depth, prefix)
+LEFT JOIN nodes p ON p.depth = c.depth - 1 AND p.prefix = c.prefix[:c.depth - 1]
+"""
+
 
 def llm_sql() -> dict[str, str]:
     return {
@@ -166,5 +210,6 @@ def llm_sql() -> dict[str, str]:
         "op3_line_dedup": LINE_DEDUP,
         "op7_mixing": MIXING,
         "op10_url_filter": URL_FILTER,
+        "op11_prefix_trie": PREFIX_TRIE,
         "op13_ranked_search": RANKED_SEARCH,
     }

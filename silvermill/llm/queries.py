@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from silvermill.llm import ann, quality, ranked_search, warc
+from silvermill.llm import ann, prefix_trie, quality, ranked_search, warc
 from silvermill.llm.following import ring_buckets
 from silvermill.llm.jaccard_join import near_duplicates
 from silvermill.llm.line_dedup import dedup_lines
@@ -144,6 +144,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.rebuilt_trie(turns)
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     items = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
@@ -153,6 +158,6 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     queries = (
         op1_lm_scoring, op2_warc, op3_line_dedup, op4_nearest, op5_jaccard_join, op6_simhash,
-        op7_mixing, op8_packing, op9_quality, op10_url_filter, op13_ranked_search,
+        op7_mixing, op8_packing, op9_quality, op10_url_filter, op11_prefix_trie, op13_ranked_search,
     )
     return {query.__name__: with_scratch(query) for query in queries}
