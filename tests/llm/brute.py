@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -110,3 +111,76 @@ def shared_targets(sizes, weights=(1, 2, 3), repeat=3):
         open_ -= above
         left -= sum(targets[s] for s in above)
     return targets
+
+
+def conversation_lists(rows):
+    """{conv_id: [(role, text), ...]} of rows (conv_id, turn, role, text)."""
+    found = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            found[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    return {conv: [x[2:] for x in sorted(turns)] for conv, turns in found.items()}
+
+
+def rebuilt_lists(lists):
+    out = {}
+    for conv, turns in lists.items():
+        h = zlib.crc32(str(conv).encode()) % 4
+        out[conv] = lists.get(conv - conv % 20, [])[:h] + turns[h:]
+    return out
+
+
+def trie_nodes(lists):
+    """Rows of the trie as the operator returns them."""
+    if not lists:
+        return []
+    members, ends = defaultdict(list), defaultdict(list)
+    for conv, turns in lists.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(conv)
+        ends[tuple(turns)].append(conv)
+    children, leaves, saved = Counter(), Counter(), Counter()
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node, convs in members.items():
+        cost = (len(convs) - 1) * len(WORD.findall(node[-1][1])) if node else 0
+        for d in range(len(node) + 1):
+            saved[node[:d]] += cost
+            leaves[node[:d]] += not children[node]
+    return [
+        (
+            min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs), children[node],
+            leaves[node], saved[node], hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest(),
+        )
+        for node, convs in members.items()
+    ]
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def ranked(docs, items, k):
+    """Rows (item_id, rank, doc_id, score) for docs (id, text) and items {id: text}."""
+    split = [(i, Counter(terms(text))) for i, text in docs]
+    split = [(i, tf) for i, tf in split if tf]
+    count, total = len(split), sum(sum(tf.values()) for _, tf in split)
+    df = Counter(term for _, tf in split for term in tf)
+    out = []
+    for item, text in items.items():
+        scored = []
+        for i, tf in split:
+            m = 10 + (90 * sum(tf.values()) * count) // total
+            score = sum(
+                math.floor(1000 * math.log((2 * count + 2) / (2 * df[t] + 1))) * ((10**9 * tf[t]) // (1000 * tf[t] + 8 * m))
+                for t in set(terms(text)) & set(tf)
+            )
+            if score > 0:
+                scored.append((-score, i is None, i, score))
+        scored.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        out += [(item, rank, x[2], x[3]) for rank, x in enumerate(scored[:k], 1)]
+    return out
