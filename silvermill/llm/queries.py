@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from silvermill.llm import ann, prefix_trie, quality, ranked_search, warc
+from silvermill.llm import ann, piece_codec, prefix_trie, quality, ranked_search, warc
 from silvermill.llm.following import ring_buckets
 from silvermill.llm.jaccard_join import near_duplicates
 from silvermill.llm.line_dedup import dedup_lines
@@ -149,6 +149,17 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(turns)
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = piece_codec.decode_pieces(piece_codec.encode_pieces(docs, model), model)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     items = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
@@ -158,6 +169,7 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     queries = (
         op1_lm_scoring, op2_warc, op3_line_dedup, op4_nearest, op5_jaccard_join, op6_simhash,
-        op7_mixing, op8_packing, op9_quality, op10_url_filter, op11_prefix_trie, op13_ranked_search,
+        op7_mixing, op8_packing, op9_quality, op10_url_filter, op11_prefix_trie,
+        op12_sentencepiece, op13_ranked_search,
     )
     return {query.__name__: with_scratch(query) for query in queries}
