@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -53,9 +54,10 @@ def marked_words(normalized: str) -> list[str]:
     return words
 
 
-def word_ids(model: sentencepiece.SentencePieceProcessor, word: str) -> list[int]:
-    """The ids of a marked word; the library itself puts the first marker in front."""
-    return model.encode(word) if word else [model.piece_to_id(MARK)]
+def word_ids(model: sentencepiece.SentencePieceProcessor, words: list[str]) -> list[list[int]]:
+    """The ids of marked words; the library itself puts the first marker in front."""
+    lone = [model.piece_to_id(MARK)]
+    return [ids or lone for ids in model.encode(words, num_threads=1)]
 
 
 # Packed arrays
@@ -91,38 +93,35 @@ def _spread(words: np.ndarray) -> np.ndarray:
 def _batches(docs: DataFrame, content, batch_chars: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def pack(number: int, ids: list, counts: list, words: list) -> pd.DataFrame:
-        seen: dict[str, int] = {}  # pandas takes U+0000 for a string's end
-        codes = np.fromiter((seen.setdefault(word, len(seen)) for word in words), np.int64, len(words))
+    def pack(number: int, ids: list, codes: list[np.ndarray], seen: dict[str, int]) -> pd.DataFrame:
         distinct = np.array(list(seen), object)
-        spread = _spread(distinct)
-        order = np.argsort(spread, kind="stable")
+        order = np.argsort(_spread(distinct), kind="stable")
         place = np.empty(len(order), np.uint32)
         place[order] = np.arange(len(order), dtype=np.uint32)
-        distinct = distinct[order].tolist()
-        sizes, data = _pack_words(distinct)
+        sizes, data = _pack_words(distinct[order].tolist())
         row = {
-            "batch": number, "ids": ids, "counts": counts, "codes": _pack(place[codes]),
-            "sizes": sizes, "words": data, "word_bytes": len(data),
+            "batch": number, "ids": ids, "counts": [len(x) for x in codes],
+            "codes": _pack(place[np.concatenate(codes)]), "sizes": sizes, "words": data, "word_bytes": len(data),
         }
         return pd.DataFrame({name: [value] for name, value in row.items()})
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load_model(content.value)
         number = TaskContext.get().partitionId() << 32
-        ids, counts, words, held = [], [], [], 0
+        ids, codes, seen, held = [], [], {}, 0
         for frame in frames:
             for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                mine = marked_words(model.normalize(text))
+                words = marked_words(model.normalize(text))
                 ids.append(None if pd.isna(doc_id) else doc_id)
-                counts.append(len(mine))
-                words += mine
+                # a dict, as pandas takes U+0000 for a string's end
+                mine = (seen.setdefault(word, len(seen)) for word in words)
+                codes.append(np.fromiter(mine, np.uint32, len(words)))
                 held += len(text)
                 if held >= batch_chars or len(ids) >= 100_000:
-                    yield pack(number, ids, counts, words)
-                    ids, counts, words, held, number = [], [], [], 0, number + 1
+                    yield pack(number, ids, codes, seen)
+                    ids, codes, seen, held, number = [], [], {}, 0, number + 1
         if ids:
-            yield pack(number, ids, counts, words)
+            yield pack(number, ids, codes, seen)
 
     schema = f"batch long, ids array<{kind}>, counts array<long>, codes binary, sizes binary, words binary, word_bytes long"
     return stored(docs.mapInPandas(cut, schema), "word-batches")
@@ -151,22 +150,36 @@ def _dealt_words(batches: DataFrame, buckets: int) -> DataFrame:
 def _segmented(frame: pd.DataFrame, content) -> pd.DataFrame:
     """The ids of a bucket's words for each batch; each distinct word is segmented once."""
     model = load_model(content.value)
-    known: dict[str, np.ndarray] = {}
+    listed = [_unpack_words(*packed).tolist() for packed in zip(frame["sizes"], frame["words"])]
+    place: dict[str, int] = {}
+    codes = [
+        np.fromiter((place.setdefault(word, len(place)) for word in words), np.int64, len(words)) for words in listed
+    ]
+    listed.clear()
+    lengths, pieces = [], []
+    distinct = list(place)
+    for at in range(0, len(distinct), 100_000):
+        found = word_ids(model, distinct[at : at + 100_000])
+        lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
+        pieces.append(np.fromiter(chain.from_iterable(found), np.uint32, lengths[-1].sum()))
+    length, pieces = np.concatenate(lengths), np.concatenate(pieces)
     out = []
-    for sizes, words in zip(frame["sizes"], frame["words"]):
-        found = []
-        for word in _unpack_words(sizes, words).tolist():
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = np.array(word_ids(model, word), np.uint32)
-            found.append(ids)
-        out.append((_pack(np.array([len(x) for x in found], np.uint32)), _pack(np.concatenate(found))))
+    for some in codes:
+        size = length[some]
+        out.append((_pack(size.astype(np.uint32)), _pack(pieces[_runs(length, some)])))
     return pd.DataFrame({
         "batch": frame["batch"], "bucket": frame["bucket"],
         "lengths": [x[0] for x in out], "pieces": [x[1] for x in out],
     })
 
 
+def _runs(length: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """The indexes of the runs `some`, one after the other, of runs that lie end to end."""
+    size = length[some]
+    before = np.cumsum(size) - size
+    return np.arange(size.sum()) + np.repeat((np.cumsum(length) - length)[some] - before, size)
+
+
 def _laid_out(batch: pd.DataFrame, parts: pd.DataFrame, end: list[int]) -> pd.DataFrame:
     """The ids of a batch's documents, from its places and its words' ids."""
     row = batch.iloc[0]
@@ -175,10 +188,8 @@ def _laid_out(batch: pd.DataFrame, parts: pd.DataFrame, end: list[int]) -> pd.Da
     length = np.concatenate([_unpack(x) for x in parts["lengths"]] + empty).astype(np.int64)
     pieces = np.concatenate([_unpack(x) for x in parts["pieces"]] + empty).astype(np.int32)
     codes = _unpack(row["codes"])
-    size = length[codes]
-    upto = np.append(0, np.cumsum(size))
-    first = (np.cumsum(length) - length)[codes]
-    ids = pieces[np.arange(upto[-1]) + np.repeat(first - upto[:-1], size)]
+    upto = np.append(0, np.cumsum(length[codes]))
+    ids = pieces[_runs(length, codes)]
     ends = upto[np.append(0, np.cumsum(np.asarray(row["counts"], np.int64)))]
     tail = np.array(end, np.int32)
     found = [np.concatenate([ids[a:b], tail]) for a, b in zip(ends, ends[1:])]
