@@ -318,7 +318,7 @@ def _verified(pairs: DataFrame, members: DataFrame, shingle: int, percent: int)
                 good[i] = is_link(shingle_set(text_a, shingle), kept[1], percent)
             yield frame.loc[good, ["a", "b"]]
 
-    return stored(pairs.join(a, "a").join(b, "b").mapInPandas(check, "a long, b long"), "links")
+    return stored(pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").mapInPandas(check, "a long, b long"), "links")
 
 
 def near_duplicates(
@@ -359,39 +359,39 @@ def near_duplicates(
     others = F.explode(F.slice("nodes", 2, 2147483647))
     stars = stored(blocks.select(others.alias("a"), F.col("nodes")[0].alias("b")).distinct(), "stars")
     links = _verified(stars, members, shingle, percent)
-    roots = connected_components(links)
+    roots = stored(connected_components(links), "roots")
     tested = stars
     for leaders in (True, False):
-        labelled = entries.join(roots, "node", "left").select(
+        labelled = entries.join(roots.hint("merge"), "node", "left").select(
             "block", "node", F.coalesce("root", "node").alias("label")
         )
         mixed = (
             labelled.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y"))
             .where("x <> y").select("block")
         )
-        mixed_entries = stored(labelled.join(mixed, "block"), "mixed-blocks")
+        mixed_entries = stored(labelled.join(mixed.hint("merge"), "block"), "mixed-blocks")
         points = mixed_entries.join(members.select("node", "n", "counts"), "node")
         pairs = stored(
             points.groupBy(F.pmod("block", F.lit(buckets)).alias("bucket"))
             .applyInPandas(_pairs_of_blocks(percent, leaders), "a long, b long").distinct()
-            .join(tested, ["a", "b"], "left_anti"),
+            .join(tested.hint("merge"), ["a", "b"], "left_anti"),
             "pairs",
         )
         links = links.union(_verified(pairs, members, shingle, percent))
         tested, entries = tested.union(pairs), mixed_entries.drop("label")
-        roots = connected_components(links)
-    named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        roots = stored(connected_components(links), "roots")
+    named = classes.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_node = named.join(least, "root").select("node", "component_id")
+    of_node = stored(named.join(least.hint("merge"), "root").select("node", "component_id"), "classes")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return sets.join(of_node, "node", "left").select(
+    return sets.join(of_node.hint("merge"), "node", "left").select(
         "doc_id", "n_shingles", F.coalesce(own, "doc_id").alias("component_id")
     )
 
 
 def _members(rows: DataFrame, nodes: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
     """(node, n, counts, text) of the sets that share a block with another."""
-    wanted = classes.join(nodes, "node").select("node", F.col("first").alias("doc_id"))
+    wanted = classes.join(nodes.hint("merge"), "node").select("node", F.col("first").alias("doc_id"))
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = set()
@@ -406,6 +406,6 @@ def _members(rows: DataFrame, nodes: DataFrame, classes: DataFrame, shingle: int
                     out.append((node, len(hashes), group_counts(hashes).tobytes(), text))
             yield pd.DataFrame(out, columns=["node", "n", "counts", "text"])
 
-    joined = rows.join(wanted, "doc_id").select("node", "text")
+    joined = rows.join(wanted.hint("merge"), "doc_id").select("node", "text")
     measured = joined.mapInPandas(measure, "node long, n long, counts binary, text string")
     return stored(measured, "members")

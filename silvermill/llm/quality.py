@@ -106,19 +106,21 @@ def dual_coordinate_descent(
     0.5 |w|^2 + sum of costs * hinge is solved one multiplier at a time.
     """
     w, bias = np.zeros(len(scale)), 0.0
-    values = [scale[r] / (np.linalg.norm(scale[r]) or 1.0) for r in rows]
-    square = np.array([v @ v + 1.0 for v in values])
+    norms = np.array([np.linalg.norm(scale[r]) for r in rows])
+    square = np.where(norms > 0, 2.0, 1.0)
+    norms[norms == 0] = 1.0
     alpha = np.zeros(len(rows))
     draw = np.random.default_rng(seed)
     for _ in range(passes):
         moved = 0.0
         for i in draw.permutation(len(rows)):
-            gradient = labels[i] * (w[rows[i]] @ values[i] + bias) - 1
+            values = scale[rows[i]] / norms[i]  # made anew: kept, they are the largest thing here
+            gradient = labels[i] * (w[rows[i]] @ values + bias) - 1
             new = min(max(alpha[i] - gradient / square[i], 0.0), costs[i])
             step = (new - alpha[i]) * labels[i]
             if step:
                 alpha[i] = new
-                w[rows[i]] += step * values[i]
+                w[rows[i]] += step * values
                 bias += step
                 moved = max(moved, abs(step))
         if moved < 1e-3:
@@ -211,7 +213,7 @@ def train_quality(
     )
     sample = (
         counted.where(F.col("feature") == -2).orderBy("good").limit(max_examples)
-        .select("bad", "row").collect()
+        .select("bad", "row").toArrow()
     )
     return _fit(sums, sample, bits, cost, passes, smoothing)
 
@@ -224,14 +226,14 @@ def _fit(sums, sample, bits, cost, passes, smoothing) -> QualityModel:
     counts[1, at[inside]] = sums["good"].to_numpy()[inside]
     bad = float(sums["bad"][~inside].sum())
     good = float(sums["good"][~inside].sum())
-    labels = np.array([2.0 * row.bad - 1 for row in sample])
+    labels = 2.0 * sample["bad"].to_numpy() - 1
     if not len(labels) or len(set(labels)) < 2:
         flat = 0.5 if not len(labels) else float(labels[0] > 0)
         centre = {0.0: -10.0, 0.5: 0.0, 1.0: 10.0}[flat]
         return QualityModel(bits, np.zeros((2, 1 << bits)), 0.0, 1.0, centre)
     rate = (counts + smoothing) / (np.array([[bad], [good]]) + 2 * smoothing)
     ratio = np.log(rate[1]) - np.log(rate[0])
-    rows = [np.frombuffer(row.row, np.int32) for row in sample]
+    rows = [np.frombuffer(row, np.int32) for chunk in sample["row"].chunks for row in raw_texts(chunk)]
     share = np.array([(labels < 0).mean(), (labels > 0).mean()])
     costs = np.where(labels > 0, cost * 0.5 / share[1], cost * 0.5 / share[0])
     # the curve needs margins of rows that the model has not seen: two halves
