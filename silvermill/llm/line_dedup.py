@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from silvermill.llm.text import WHITE, ascii_lower, hash128, whole_text
+from silvermill.llm.text import WHITE, ascii_lower, free_names, hash128, whole_text
 
 
 def split_lines(text: Column) -> Column:
@@ -74,32 +74,38 @@ def dedup_lines(
     """
     shared = shared_lines(docs, id_col, text_col, min_docs, min_chars)
     lines = _lines(docs, id_col, text_col, min_chars)
+    # the hash is one more join key, so that the join has exchanges of its own, of
+    # which adaptive execution splits a line that very many documents have
+    spread = F.xxhash64("key.a").alias("spread")
+    own_id, version, gone, text_hash, own_lines = free_names(
+        docs, "id", "version", "gone", "text_hash", "lines"
+    )
     dropped = (
-        lines.join(shared, "key")
+        lines.select("*", spread).join(shared.select("*", spread), ["key", "spread"])
         .where(~F.col("id").eqNullSafe(F.col("keeper")))
-        .groupBy(F.col("id").alias("_id"), F.col("version").alias("_version"))
-        .agg(F.collect_set("pos").alias("_gone"))
+        .groupBy(F.col("id").alias(own_id), F.col("version").alias(version))
+        .agg(F.collect_set("pos").alias(gone))
     )
     text = whole_text(text_col)
-    rows = docs.withColumns({"_text_hash": F.xxhash64(text), "_lines": split_lines(text)})
+    rows = docs.withColumns({text_hash: F.xxhash64(text), own_lines: split_lines(text)})
     joined = rows.drop(text_col).join(
         dropped,
-        rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_version")),
+        rows[id_col].eqNullSafe(F.col(own_id)) & (F.col(text_hash) == F.col(version)),
         "left",
     )
-    places = F.sequence(F.lit(0), F.size("_lines") - 1)
+    places = F.sequence(F.lit(0), F.size(own_lines) - 1)
     kept = F.transform(
-        F.array_except(places, F.col("_gone")), lambda i: F.get(F.col("_lines"), i)
+        F.array_except(places, F.col(gone)), lambda i: F.get(F.col(own_lines), i)
     )
     new = {
         text_col: F.array_join(
-            F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(kept), "\n"
+            F.when(F.col(gone).isNull(), F.col(own_lines)).otherwise(kept), "\n"
         )
     }
     names = list(docs.columns)
     if counts:
-        new[counts[0]] = F.size("_lines").cast("long")
-        gone = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone"))
-        new[counts[1]] = gone.cast("long")
+        new[counts[0]] = F.size(own_lines).cast("long")
+        lost = F.when(F.col(gone).isNull(), F.lit(0)).otherwise(F.size(gone))
+        new[counts[1]] = lost.cast("long")
         names += [name for name in counts if name not in names]
     return joined.select(*[new.get(name, F.col(f"`{name}`")).alias(name) for name in names])

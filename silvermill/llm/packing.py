@@ -23,7 +23,7 @@ import tiktoken
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from silvermill.llm.text import whole_text
+from silvermill.llm.text import free_names, whole_text
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
@@ -188,13 +188,14 @@ def pack_pieces(
         full = F.lit(False)
     groups = max(1, -(-rows.where(~full).count() // group_pieces))
     salt = F.xxhash64(*[F.col(f"`{name}`") for name in kept])
-    dealt = rows.withColumns({"_salt": salt, "_group": F.pmod(salt, F.lit(groups))})
+    own_salt, own_group = free_names(rows, "salt", "group")
+    dealt = rows.withColumns({own_salt: salt, own_group: F.pmod(salt, F.lit(groups))})
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     limits = np.array([capacity, documents, attention], float)
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        group = frame["_group"].iloc[0]
-        frame = frame.sort_values([length_col, "_salt"], ascending=[False, True], kind="stable")
+        group = frame[own_group].iloc[0]
+        frame = frame.sort_values([length_col, own_salt], ascending=[False, True], kind="stable")
         length = frame[length_col].to_numpy(float)
         if not ((length >= 1) & (length <= capacity)).all():
             raise ValueError("a piece's length must be 1 to the capacity")
@@ -205,7 +206,7 @@ def pack_pieces(
             sequence_id=group * np.int64(1 << 32) + bins, offset=before.astype("int64")
         )
 
-    short = dealt.where(~full).groupBy("_group").applyInPandas(
+    short = dealt.where(~full).groupBy(own_group).applyInPandas(
         pack, f"{schema}, sequence_id long, offset long"
     )
     alone = rows.where(full).withColumns({

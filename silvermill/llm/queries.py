@@ -96,9 +96,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "simhash",
     )
     pairs = near_fingerprints(beside, col="print")
-    near = (
+    near = stored(  # written, so that a fingerprint of very many rows can be split in the join
         pairs.select(F.explode(F.array("a", "b")).alias("near_print"))
-        .groupBy("near_print").agg(F.count("*").alias("n_near"))
+        .groupBy("near_print").agg(F.count("*").alias("n_near")),
+        "simhash-near",
     )
     hexed = lambda name: F.lpad(F.lower(F.hex(name)), 16, "0")
     return beside.join(near, F.col("print") == F.col("near_print"), "left").select(

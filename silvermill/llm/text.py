@@ -35,6 +35,19 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, UPPER.lower())
 
 
+def free_names(frame: DataFrame, *wanted: str) -> list[str]:
+    """Names for an operator's own columns that no column of the frame has."""
+    taken = {name.lower() for name in frame.columns}
+    found = []
+    for name in wanted:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def hash128(column: Column) -> Column:
     """Two hashes of 64 bits; one alone would collide among 10^11 values."""
     return F.struct(F.xxhash64(column).alias("a"), F.xxhash64(F.lit(1), column).alias("b"))

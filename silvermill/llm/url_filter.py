@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from silvermill.llm.text import ascii_lower, whole_text
+from silvermill.llm.text import ascii_lower, whole_text, free_names
 from silvermill.scratch import stored
 
 #: (verdict, host, path)
@@ -208,21 +208,22 @@ def judge_urls(
         )
         return pd.Series(np.split(said, np.cumsum(sizes)[:-1]) if len(sizes) else [])
 
-    tried = split.withColumn("_keys", keys)
-    hashed = tried.withColumn("_said", verdicts(
-        F.transform("_keys", lambda k: _hashes(k)[0]), F.transform("_keys", lambda k: _hashes(k)[1])
+    own_keys, said, own_best = free_names(split, "keys", "said", "best")
+    tried = split.withColumn(own_keys, keys)
+    hashed = tried.withColumn(said, verdicts(
+        F.transform(own_keys, lambda k: _hashes(k)[0]), F.transform(own_keys, lambda k: _hashes(k)[1])
     ))
     hits = F.filter(
-        F.arrays_zip(F.col("_keys").alias("key"), F.col("_said").alias("said")),
+        F.arrays_zip(F.col(own_keys).alias("key"), F.col(said).alias("said")),
         lambda x: x["said"] != "",
     )
     best = F.element_at(F.array_sort(F.transform(
         hits, lambda x: F.struct(F.char_length(x["key"]).alias("n"), x["key"].alias("key"), x["said"].alias("said"))
     )), -1)
     best = F.when(F.size(hits) > 0, best)
-    return hashed.withColumn("_best", best).select(
-        *kept, "host", "path", F.col("_best.key").alias("rule"),
-        F.coalesce(F.col("_best.said"), F.lit(default)).alias("verdict"),
+    return hashed.withColumn(own_best, best).select(
+        *kept, "host", "path", F.col(f"{own_best}.key").alias("rule"),
+        F.coalesce(F.col(f"{own_best}.said"), F.lit(default)).alias("verdict"),
     )
 
 

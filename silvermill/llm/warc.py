@@ -155,10 +155,15 @@ def mark_revisits(
         records.select(F.col(id_col).alias("id"), F.encode(payload, "UTF-8").alias("payload"))
         .groupBy(F.sha1("payload").alias("first_sha1")).agg(F.min("id").alias("first"))
     )
+    # the hash is one more join key: the join then has exchanges of its own, of which
+    # adaptive execution splits a payload that very many rows have
+    rows = rows.withColumn("spread", F.xxhash64("sha1"))
+    firsts = firsts.withColumn("first_spread", F.xxhash64("first_sha1"))
+    same = (F.col("sha1") == F.col("first_sha1")) & (F.col("spread") == F.col("first_spread"))
     again = (F.col("payload_bytes") >= min_payload) & ~F.col(id_col).eqNullSafe(F.col("first")) & F.col("first").isNotNull()
-    return rows.join(firsts, F.col("sha1") == F.col("first_sha1")).withColumn(
+    return rows.join(firsts, same).withColumn(
         "refers_to", F.when(again, F.col("first"))
-    ).drop("first", "first_sha1")
+    ).drop("first", "first_sha1", "spread", "first_spread")
 
 
 def write_bundles(

@@ -67,3 +67,29 @@ def test_a_text_of_many_lines(spark):
     many = "\n".join(f"line number {i:06d}" for i in range(60_000))
     found = run(spark, [(1, many), (2, many + "\nown line of two")])
     assert found[2] == (60_001, 60_000, "own line of two") and found[1][1] == 0
+
+
+def test_columns_named_like_the_operators_own_are_kept(spark):
+    names = ["_id", "_gone", "_version", "_lines", "_text_hash", "id", "key", "pos"]
+    docs = spark.createDataFrame(
+        [(1, "a shared line here\nx", *range(8)), (2, "a shared line here\ny", *range(8, 16))],
+        "doc_id long, text string, " + ", ".join(f"{n} int" for n in names),
+    )
+    out = sorted(map(tuple, dedup_lines(docs).select("doc_id", "text", *names).collect()))
+    assert out == [(1, "a shared line here\nx", *range(8)), (2, "y", *range(8, 16))]
+
+
+def test_a_line_of_very_many_documents_is_split(spark):
+    from tests.test_plans import final_plan, settings
+
+    docs = spark.range(20_000).selectExpr(
+        "id doc_id", "concat('the very same line for all\n', md5(string(id))) text"
+    )
+    low = {
+        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "10k",
+        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "10k",
+        "spark__sql__autoBroadcastJoinThreshold": "-1",
+    }
+    with settings(spark, **low):
+        assert "skew=true" in final_plan(dedup_lines(docs))

@@ -96,3 +96,9 @@ def test_empty_table(spark):
     empty = docs(spark, [])
     pieces = token_pieces(empty, VOCABULARY, public_tokenizers.PATTERN)
     assert pack_pieces(pieces).collect() == []
+
+
+def test_columns_named_like_the_operators_own_are_kept(spark):
+    pieces = spark.createDataFrame([(1, 5, 7, 8), (2, 6, 9, 10)], "doc_id long, length long, _group int, _salt int")
+    found = sorted(map(tuple, pack_pieces(pieces, capacity=20).select("doc_id", "_group", "_salt").collect()))
+    assert found == [(1, 7, 8), (2, 9, 10)]

@@ -130,3 +130,18 @@ def test_empty_tables(spark, tmp_path):
     for name in ("documents", "labels"):
         read_table(spark, SF, name).limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_jaccard_join_judges_rows_and_not_ids(spark):
+    schema = "doc_id long, text string, _row long, _component int"
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    c = " ".join(f"c{i}" for i in range(60))
+    docs = spark.createDataFrame([
+        (1, a, 1, 1), (2, a, 2, 2), (2, b, 3, 3),  # an id shared by a copy and a clean row
+        (7, c, 4, 4), (7, c, 5, 5),  # a repeated row
+        (None, "n " + b, 6, 6), (None, None, 7, 7), (None, None, 8, 8), (9, "", 9, 9),
+    ], schema)
+    kept = corpus_pipeline.jaccard_join(spark, docs, SF)
+    assert kept.columns == docs.columns
+    found = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert found == Counter([(1, a), (2, b), (7, c), (None, None), (None, None), (9, "")])

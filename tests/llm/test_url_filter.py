@@ -32,3 +32,11 @@ def test_longest_rule_wins_and_odd_urls(spark):
     }
     assert judge_urls(frame.limit(0), RULES).count() == 0
     assert np.all([r.verdict == "allow" for r in judge_urls(frame, []).collect()])
+
+
+def test_columns_named_like_the_operators_own_are_kept(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://a.com/x", 7, 8, 9)], "page_id long, url string, _keys int, _said int, _best int"
+    )
+    row = judge_urls(pages, [("block", "com", "/x")]).first()
+    assert (row._keys, row._said, row._best, row.verdict) == (7, 8, 9, "block")
