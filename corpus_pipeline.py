@@ -15,7 +15,7 @@ from silvermill.llm.line_dedup import dedup_lines
 from silvermill.llm.mixing import mix_sources, training_order
 from silvermill.llm.packing import pack_pieces, token_pieces
 from silvermill.llm.quality import score_quality, train_quality
-from silvermill.llm.text import read_table
+from silvermill.llm.text import free_names, read_table
 from silvermill.scratch import stored, with_scratch
 
 #: Documents below this score go. Lower than a label's threshold: a clean document
@@ -26,8 +26,9 @@ KEEP_FROM = 0.5
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good."""
     model = train_quality(docs, read_table(spark, sf_dir, "labels"))
-    scored = score_quality(docs, model, score_col="_score", predicted_col="_good", threshold=KEEP_FROM)
-    return scored.where("_good = 1").select(*docs.columns)
+    score, good = free_names(docs, "score", "good")
+    scored = score_quality(docs, model, score_col=score, predicted_col=good, threshold=KEEP_FROM)
+    return scored.where(F.col(good) == 1).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +38,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component of near duplicates, the document with the smallest id."""
-    found = near_duplicates(docs, shingle=5, percent=80)
-    others = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """Of every component of near duplicates, one row: that with the smallest id, null last.
+
+    Rows are linked and judged each by its own text, whatever ids they have, so a row
+    that shares its id with a copy stays if it is no copy itself. Of rows with the
+    same id, or none, one stays if they are near duplicates. Rows without words are
+    nobody's duplicates.
+    """
+    row, component = free_names(docs, "row", "component")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(numbered, shingle=5, percent=80, id_col=row)
+    judged = numbered.select(row, "doc_id").join(
+        found.select(F.col("doc_id").alias(row), F.col("component_id").alias(component)).hint("merge"), row
+    )
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    kept = judged.groupBy(component).agg(F.min(first).alias("first")).select(F.col(f"first.{row}"))
+    return numbered.join(kept.hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
