@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from silvermill.functions.checks import all_known, any_unknown
 
@@ -84,6 +84,48 @@ def matching_rows(
     return left.join(right, _match(left, right, keys, null_safe), "left_semi").drop(_SPREAD)
 
 
+#: Types whose least and greatest values Parquet keeps for a row group and Spark compares.
+_ORDERED = (
+    T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType, T.TimestampType,
+    T.TimestampNTZType,
+)
+
+
+def key_filter(
+    batch: DataFrame, keys: Sequence[str], null_safe: bool = False, most_values: int = 1000
+) -> Column | None:
+    """What the keys of a batch have in common, as a filter that reaches a Parquet scan.
+
+    Each key is within the batch's least and greatest value, and, where the batch
+    has at most `most_values` different ones, among these; with Bloom filters in the
+    files, a scan then leaves out row groups that hold none. The batch's own
+    values decide, so no row that a key matches is lost. At most `most_values` of a
+    key come to the driver. None, if no key can be filtered by.
+    """
+    some = [k for k in keys if isinstance(batch.schema[k].dataType, _ORDERED)]
+    if not some:
+        return None
+    first = batch.select(*some)
+    facts = first.agg(
+        *[f(F.col(f"`{k}`")).alias(f"{f.__name__}{i}") for i, k in enumerate(some) for f in (F.min, F.max)],
+        *[F.count_if(F.col(f"`{k}`").isNull()).alias(f"null{i}") for i, k in enumerate(some)],
+    ).first()
+    found = None
+    for i, key in enumerate(some):
+        column, low, high = F.col(f"`{key}`"), facts[f"min{i}"], facts[f"max{i}"]
+        if low is None:  # only nulls, or no rows
+            fits = F.lit(False)
+        else:
+            values = [row[0] for row in first.select(key).where(column.isNotNull()).distinct().limit(most_values + 1).collect()]
+            fits = column.between(low, high)
+            if len(values) <= most_values:
+                fits = column.isin(values)
+        if null_safe and facts[f"null{i}"]:
+            fits = fits | column.isNull()
+        found = fits if found is None else found & fits
+    return found
+
+
 def unmatched_rows(
     target: DataFrame, inserts: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:

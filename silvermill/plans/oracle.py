@@ -283,6 +283,23 @@ def all_sql() -> dict[str, str]:
                     ORDER BY {PART_SEQ} DESC, ts DESC, event_id DESC) AS place
                 FROM events) AS ranked WHERE place = 1""",
         "silver_merge": merge(UNKNOWN_BEFORE, UNKNOWN_SINCE, ORDER_KEYS, ORDERS),
+        "silver_merge_blooms": merge(UNKNOWN_BEFORE, UNKNOWN_SINCE, ORDER_KEYS, ORDERS),
+        "merge_bucketed": merge(UNKNOWN_BEFORE, UNKNOWN_SINCE, ORDER_KEYS, ORDERS),
+        "csv_quoted_lines": """
+            SELECT doc_id, lang, length(text)::BIGINT AS n_chars, sha256(text) AS text_sha256 FROM documents""",
+        "element_drift": """
+            SELECT 'id' AS field, TRUE AS declared,
+                   count(*) FILTER (l_returnflag = 'R' OR l_linestatus = 'F') AS n_elements, 0::BIGINT AS n_null,
+                   count(*) FILTER (l_returnflag <> 'R' AND l_linestatus = 'F') AS n_other_type FROM lineitem
+            UNION ALL SELECT 'name', TRUE, count(*), 0, count(*) FILTER (l_returnflag = 'R') FROM lineitem
+            UNION ALL SELECT 'extra', FALSE, count(*) FILTER (l_returnflag = 'A'), 0, 0 FROM lineitem
+            UNION ALL SELECT NULL, FALSE, n, n, n FROM (
+                SELECT count(*) FILTER (l_returnflag = 'R') AS n FROM lineitem) WHERE n > 0""",
+        "page_of_rows": """
+            SELECT l_extendedprice, l_orderkey, l_linenumber, l_partkey, row_number FROM (
+                SELECT *, row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey DESC,
+                                             l_linenumber DESC, l_partkey DESC) AS row_number FROM lineitem)
+            WHERE row_number BETWEEN 3001 AND 4000""",
         "silver_bootstrap": ORDERS_SINCE,
         "overwrite_roundtrip": "SELECT * FROM customer",
         "append_load": f"{ORDERS_BEFORE} UNION ALL {ORDERS_SINCE}",

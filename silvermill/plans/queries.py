@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from silvermill.functions import equals, part_date, part_time
 from silvermill.operators import quality, rows
+from silvermill.operators.drift import element_drift
 from silvermill.operators.normalize import normalize_json_array
 from silvermill.operators.project import fill_sentinels, flatten_struct, typed_projection
 from silvermill.operators.upsert import latest_per_key, upsert
@@ -29,12 +30,13 @@ from silvermill.sources import (
     push_then_pull,
     read_csv,
     read_parts,
+    read_quoted_csv,
     write_csv,
     write_snapshot,
 )
 from silvermill.spec import ColumnSpec, TableSpec
 from silvermill.streaming import ingest_available
-from silvermill.tables import SilverTable
+from silvermill.tables import BucketedTable, SilverTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,6 +197,19 @@ def query_normalize_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def query_element_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as elements whose id is sometimes text, whose name sometimes a number, and
+    that have a field which is not declared."""
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    item = lambda name: F.to_json(F.struct(
+        F.when(status == "F", F.concat(F.lit("p"), "l_partkey")).alias("id"), name.alias("name"),
+        F.when(flag == "A", F.lit(True)).alias("extra"),
+    ))
+    number = F.to_json(F.struct(F.col("l_partkey").alias("id"), F.col("l_linenumber").alias("name")))
+    text = F.when(flag == "R", F.concat(F.lit("["), number, F.lit(", null]"))).otherwise(item(status))
+    return element_drift(star.table(spark, sf_dir, "lineitem").select(text.alias("items")), "items", ITEM)
+
+
 def query_typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = star.table(spark, sf_dir, "orders").select(
         "*",
@@ -311,6 +326,23 @@ def query_silver_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.read()
 
 
+def query_silver_merge_blooms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As silver_merge, with files that tell which keys they hold."""
+    silver = SilverTable(spark, new_folder(spark, "silver"), ORDER_KEYS, slices=4, key_blooms=True)
+    silver.overwrite(unknown_status(orders_before(spark, sf_dir)))
+    silver.apply(unknown_status(orders_changed(spark, sf_dir)))
+    return silver.read()
+
+
+def query_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As silver_merge, into a table whose side of the merge is not shuffled."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = BucketedTable(spark, new_folder(spark, "bucketed"), ORDER_KEYS, buckets)
+    table.overwrite(unknown_status(orders_before(spark, sf_dir)))
+    table.merge(unknown_status(orders_changed(spark, sf_dir)))
+    return table.read()
+
+
 def query_silver_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first load creates the table; the second replaces it on demand."""
     silver = SilverTable(spark, new_folder(spark, "silver"), ORDER_KEYS)
@@ -362,6 +394,17 @@ def query_csv_push_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Pipelines
 
+def query_csv_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, which have line breaks, quotes and commas, through CSV files that are
+    read by byte ranges."""
+    path = new_folder(spark, "csv")
+    write_csv(star.table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), path)
+    texts = read_quoted_csv(spark, path, schema="doc_id bigint, lang string, text string")
+    return texts.select(
+        "doc_id", "lang", F.char_length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def every_column(spec: TableSpec) -> list[str]:
     return [c for c in spec.column_names if c not in spec.keys]
 
@@ -549,6 +592,13 @@ def query_top_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def query_page_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows from the middle of an order of all line items."""
+    by = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey"]
+    lines = star.table(spark, sf_dir, "lineitem").select(*by)
+    return rows.rows_between(lines, by, 3001, 4000, descending=True)
+
+
 def all_queries() -> dict[str, Query]:
     found = {
         name.removeprefix("query_"): function

@@ -55,8 +55,8 @@ def with_scratch(query: Callable) -> Callable:
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
-    """The frame written to the shared folder and read back."""
+    """The frame written to the shared folder, in the denser zstd, and read back."""
     spark = frame.sparkSession
     folder = new_folder(spark, label)
-    frame.write.parquet(folder)
+    frame.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)

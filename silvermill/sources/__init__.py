@@ -5,7 +5,7 @@ from silvermill.sources.bronze import (
     read_parts,
     with_part_seq,
 )
-from silvermill.sources.csv import ingest_csv, push_then_pull, read_csv, write_csv
+from silvermill.sources.csv import ingest_csv, push_then_pull, read_csv, read_quoted_csv, write_csv
 from silvermill.sources.listing import list_objects, objects_with_prefix, read_if_exists
 from silvermill.sources.local import local_rows
 from silvermill.sources.snapshot import write_snapshot
@@ -22,6 +22,7 @@ __all__ = [
     "read_each_part",
     "read_if_exists",
     "read_parts",
+    "read_quoted_csv",
     "with_part_seq",
     "write_csv",
     "write_snapshot",

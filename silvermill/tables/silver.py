@@ -25,6 +25,7 @@ from silvermill.functions.checks import all_known
 from silvermill.operators.parts import without_replayed
 from silvermill.operators.upsert import (
     conform,
+    key_filter,
     matching_rows,
     rows_without,
     updated_rows,
@@ -54,6 +55,11 @@ class SilverTable:
     at a time, and no reader while it swaps folders: `read()` refuses a table
     that is being swapped, or whose writer died then, until the next write or
     `recover()` finishes the swap.
+
+    `key_blooms` writes a Bloom filter of each key to each row group, of a size
+    that fits its values. A merge looks for its keys with a filter on the target's
+    scan (`key_filter`); the blooms let it leave out row groups of a touched slice
+    that hold none of a small batch's keys. Files without them stay readable.
     """
 
     def __init__(
@@ -64,6 +70,7 @@ class SilverTable:
         slice_by: Sequence[str] = (),
         slices: int = 16,
         null_safe_keys: bool = False,
+        key_blooms: bool = False,
     ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
@@ -71,6 +78,7 @@ class SilverTable:
         self.slice_by = tuple(slice_by) or self.keys
         self.new_slices = slices
         self.null_safe_keys = null_safe_keys
+        self.key_blooms = key_blooms
 
     def exists(self) -> bool:
         return self._stored() is not None
@@ -174,7 +182,10 @@ class SilverTable:
         if replayed:
             ours = F.col(BATCH) == batch
             target = without_replayed(target, staged.repeated, keys, ours, null_safe)
-        matched = matching_rows(target.select(*keys, column), staged.updates, keys, null_safe)
+        among = target
+        if (wanted := key_filter(staged.updates, keys, null_safe)) is not None:
+            among = target.where(wanted)
+        matched = matching_rows(among.select(*keys, column), staged.updates, keys, null_safe)
         matched = staged.keep(matched.distinct(), "matched")
 
         rewritten = staged.touched
@@ -294,9 +305,14 @@ class SilverTable:
         """Rebalanced by slice: small slices share a task, and adaptive
         execution splits a slice that is too large for one."""
         column = f"{_SLICE_PREFIX}{slices}"
+        blooms = {}
+        if self.key_blooms:
+            blooms = {f"parquet.bloom.filter.enabled#{key}": "true" for key in self.keys}
+            blooms["parquet.bloom.filter.adaptive.enabled"] = "true"
         (rows.withColumn(column, self._slice_name(slices, batch))
          .hint("rebalance", F.col(column))
          .write.mode(mode)
          .option("partitionOverwriteMode", "static")
+         .options(**blooms)
          .partitionBy(column)
          .parquet(path or self.path))
