@@ -174,3 +174,74 @@ def test_both_sides_of_one_query_agree_under_skew_settings(spark):
     expected = rows(upsert(target, source, ["k"]))
     with settings(spark, **SKEW):
         assert rows(upsert(target, source, ["k"])) == expected
+
+
+def scanned_rows(spark, frame) -> int:
+    """Rows that the scans of a frame have given out, after it was run."""
+    frame.collect()
+    found, todo = 0, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            node = node.executedPlan()
+        if node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().get("numOutputRows").get().value()
+        for i in range(node.children().size()):
+            todo.append(node.children().apply(i))
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+    return found
+
+
+def keyed_table(spark, path, blooms):
+    table = SilverTable(spark, path, ["k"], slices=1, key_blooms=blooms)
+    table.overwrite(spark.range(40_000).selectExpr("md5(string(id)) k", "id v"))
+    return table
+
+
+def test_a_small_batch_reads_few_row_groups_of_the_target(spark, tmp_path):
+    from silvermill.operators.upsert import key_filter, matching_rows
+
+    batch = spark.range(3).selectExpr("md5(string(id * 1000)) k", "-1L v")
+    read = {}
+    # a row group's size is checked every 100 rows, so small groups can be made
+    context = spark.sparkContext._jsc.hadoopConfiguration()
+    context.set("parquet.block.size", str(64 << 10))
+    context.set("parquet.page.size.row.check.min", "100")
+    context.set("parquet.block.size.row.check.min", "100")
+    try:
+        for blooms in (False, True):
+            table = keyed_table(spark, str(tmp_path / f"t{blooms}"), blooms)
+            among = table.read().where(key_filter(batch, ["k"]))
+            assert re.search(r"PushedFilters: \[[^\]]*In\(k, \[", plan(among))
+            found = matching_rows(among.select("k"), batch, ["k"])
+            read[blooms] = scanned_rows(spark, among.select("k"))
+            assert found.count() == 3
+            table.apply(batch)
+            assert table.read().where("v = -1").count() == 3 and table.read().count() == 40_000
+    finally:
+        for name in ("parquet.block.size", "parquet.page.size.row.check.min", "parquet.block.size.row.check.min"):
+            context.unset(name)
+    assert read[True] < read[False] / 2
+
+
+def test_key_filters_lose_no_match(spark):
+    from silvermill.operators.upsert import key_filter
+
+    target = spark.createDataFrame(
+        [(i % 7 if i % 5 else None, None if i % 3 else str(i % 4), float(i)) for i in range(60)], "a int, b string, c double"
+    )
+    for data in ([], [(1, "2", 1.0)], [(None, "2", 1.0)], [(None, None, 1.0)], [(i, str(i), 0.0) for i in range(9)]):
+        batch = spark.createDataFrame(data, target.schema)
+        for keys in (["a"], ["a", "b"], ["a", "b", "c"]):
+            for most in (1, 1000):
+                for null_safe in (False, True):
+                    left, right = target.alias("l"), batch.select(*keys).distinct().alias("r")
+                    same = F.lit(True)
+                    for k in keys:
+                        x, y = F.col(f"l.{k}"), F.col(f"r.{k}")
+                        same = same & (x.eqNullSafe(y) if null_safe else x == y)
+                    wanted = left.join(right, same, "left_semi")
+                    kept = target.where(key_filter(batch, keys, null_safe, most))
+                    assert rows(kept.intersectAll(wanted)) == rows(wanted)
+    assert key_filter(target, ["c"]) is None
