@@ -6,15 +6,18 @@ word to the next marker, so a text's ids are those of its marked words, one afte
 the other. Each distinct marked word is segmented by the library once and its
 ids are put wherever the word stands.
 
-Documents are cut into batches of some million characters. A batch is written as its
-distinct words, in the order of a hash, and each place's number in that list. The
+Documents are cut into batches of some million characters. A batch is its distinct
+words, in the order of a hash, and each place's number in that list. The
 distinct words of all batches meet by ranges of the hash, where the library segments
-each once; the ids return to the batches, which lay them out by place.
+each once; the ids return to the batches, which lay them out by place. Words and
+places go to different tasks, so batches are made twice, which is cheaper than
+writing them down; a sum over the words tells whether both made the same ones.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -26,7 +29,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from silvermill.llm.text import whole_text
-from silvermill.scratch import stored
 
 MARK = "▁"
 _MARKED = re.compile(f"{MARK}+[^{MARK}]*")
@@ -101,7 +103,7 @@ def _batches(docs: DataFrame, content, batch_chars: int) -> DataFrame:
         sizes, data = _pack_words(distinct[order].tolist())
         row = {
             "batch": number, "ids": ids, "counts": [len(x) for x in codes],
-            "codes": _pack(place[np.concatenate(codes)]), "sizes": sizes, "words": data, "word_bytes": len(data),
+            "codes": _pack(place[np.concatenate(codes)]), "sizes": sizes, "words": data, "sum": zlib.crc32(data),
         }
         return pd.DataFrame({name: [value] for name, value in row.items()})
 
@@ -123,27 +125,27 @@ def _batches(docs: DataFrame, content, batch_chars: int) -> DataFrame:
         if ids:
             yield pack(number, ids, codes, seen)
 
-    schema = f"batch long, ids array<{kind}>, counts array<long>, codes binary, sizes binary, words binary, word_bytes long"
-    return stored(docs.mapInPandas(cut, schema), "word-batches")
+    schema = f"batch long, ids array<{kind}>, counts array<long>, codes binary, sizes binary, words binary, sum long"
+    return docs.mapInPandas(cut, schema)
 
 
 def _dealt_words(batches: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, batch, sizes, words): the batches' lists, cut at ranges of the hash."""
+    """(bucket, batch, sum, sizes, words): the batches' lists, cut at ranges of the hash."""
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for batch, sizes, words in zip(frame["batch"], frame["sizes"], frame["words"]):
+            for batch, total, sizes, words in zip(frame["batch"], frame["sum"], frame["sizes"], frame["words"]):
                 words = _unpack_words(sizes, words)
                 bucket = ((_spread(words) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 used, first = np.unique(bucket, return_index=True)
                 parts = [_pack_words(words[a:b].tolist()) for a, b in zip(first, [*first[1:], len(words)])]
                 yield pd.DataFrame({
-                    "bucket": used.astype(np.int64), "batch": batch,
+                    "bucket": used.astype(np.int64), "batch": batch, "sum": total,
                     "sizes": [p[0] for p in parts], "words": [p[1] for p in parts],
                 })
 
-    return batches.select("batch", "sizes", "words").mapInPandas(
-        deal, "bucket long, batch long, sizes binary, words binary"
+    return batches.select("batch", "sum", "sizes", "words").mapInPandas(
+        deal, "bucket long, batch long, sum long, sizes binary, words binary"
     )
 
 
@@ -168,7 +170,7 @@ def _segmented(frame: pd.DataFrame, content) -> pd.DataFrame:
         size = length[some]
         out.append((_pack(size.astype(np.uint32)), _pack(pieces[_runs(length, some)])))
     return pd.DataFrame({
-        "batch": frame["batch"], "bucket": frame["bucket"],
+        "batch": frame["batch"], "bucket": frame["bucket"], "sum": frame["sum"],
         "lengths": [x[0] for x in out], "pieces": [x[1] for x in out],
     })
 
@@ -180,8 +182,10 @@ def _runs(length: np.ndarray, some: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat((np.cumsum(length) - length)[some] - before, size)
 
 
-def _laid_out(batch: pd.DataFrame, parts: pd.DataFrame, end: list[int]) -> pd.DataFrame:
+def _laid_out(batch: pd.DataFrame, parts: pd.DataFrame, end: list[int]) -> tuple[list, list[np.ndarray]]:
     """The ids of a batch's documents, from its places and its words' ids."""
+    if not len(batch) or (parts["sum"] != batch["sum"].iloc[0]).any():
+        raise RuntimeError("the documents came in another order the second time: write them to a table first")
     row = batch.iloc[0]
     parts = parts.sort_values("bucket")
     empty = [np.zeros(0, np.uint32)]
@@ -192,24 +196,25 @@ def _laid_out(batch: pd.DataFrame, parts: pd.DataFrame, end: list[int]) -> pd.Da
     ids = pieces[_runs(length, codes)]
     ends = upto[np.append(0, np.cumsum(np.asarray(row["counts"], np.int64)))]
     tail = np.array(end, np.int32)
-    found = [np.concatenate([ids[a:b], tail]) for a, b in zip(ends, ends[1:])]
-    return pd.DataFrame({"doc_id": list(row["ids"]), "ids": found}, dtype=object)
+    return list(row["ids"]), [np.concatenate([ids[a:b], tail]) for a, b in zip(ends, ends[1:])]
 
 
 def encode_pieces(
     docs: DataFrame, model: str, add_end: bool = True, id_col: str = "doc_id", text_col: str = "text",
-    batch_chars: int = 16_000_000, bucket_bytes: int = 32_000_000,
+    decode: bool = False, batch_chars: int = 8_000_000, bucket_bytes: int = 32_000_000,
 ) -> DataFrame:
     """(doc_id, ids) of every row: the library's encode(text), and the end id if asked for.
 
-    `model` is a file of the driver, some hundred kilobytes, which is broadcast;
+    With `decode`, also `decoded`, the library's decode(ids). `model` is a file of the
+    driver, some hundred kilobytes, which is broadcast;
     it must be one whose pieces do not cross markers (`check_model`). A null text
     is empty and has no ids but the end id. Rows with one id, or a null id, are
     each encoded. Other columns are not looked at.
 
-    A batch holds whole documents, so one very long text is a batch by itself;
-    it must fit a task, as it must to be one row. A bucket holds about
-    `bucket_bytes` of compressed distinct words of the batches.
+    `docs` is read twice and must come in the same order each time, as a table
+    does; if it does not, the job fails. A batch holds whole documents, so one
+    very long text is a batch by itself; it must fit a task, as it must to be one
+    row. A bucket holds about `bucket_bytes` of the batches' distinct words.
     """
     with open(model, "rb") as file:
         proto = file.read()
@@ -219,19 +224,27 @@ def encode_pieces(
     end = [load_model(proto).eos_id()] if add_end else []
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    batches = _batches(rows, content, batch_chars)
-    size = batches.agg(F.sum("word_bytes")).first()[0] or 0
+    # distinct words are about a seventh of a batch of prose; no more than the text at worst
+    size = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 7
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
+    batches = _batches(rows, content, batch_chars)
     segmented = _dealt_words(batches, buckets).groupBy("bucket").applyInPandas(
-        lambda frame: _segmented(frame, content), "batch long, bucket long, lengths binary, pieces binary"
+        lambda frame: _segmented(frame, content),
+        "batch long, bucket long, sum long, lengths binary, pieces binary",
     )
 
     def lay_out(batch: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
-        return _laid_out(batch, parts, end)
-
-    return batches.select("batch", "ids", "counts", "codes").groupBy("batch").cogroup(
+        doc_ids, found = _laid_out(batch, parts, end)
+        frame = pd.DataFrame({"doc_id": doc_ids, "ids": found}, dtype=object)
+        if decode:
+            model = load_model(content.value)
+            frame["decoded"] = pd.Series([model.decode(ids.tolist()) for ids in found], dtype=object)
+        return frame
+
+    schema = f"doc_id {kind}, ids array<int>" + ", decoded string" * decode
+    return batches.select("batch", "sum", "ids", "counts", "codes").groupBy("batch").cogroup(
         segmented.groupBy("batch")
-    ).applyInPandas(lay_out, f"doc_id {kind}, ids array<int>")
+    ).applyInPandas(lay_out, schema)
 
 
 def decode_pieces(encoded: DataFrame, model: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

@@ -153,7 +153,7 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = public_tokenizers.path("piece_bpe_32k.model")
-    decoded = piece_codec.decode_pieces(piece_codec.encode_pieces(docs, model), model)
+    decoded = piece_codec.encode_pieces(docs, model, decode=True)
     return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),

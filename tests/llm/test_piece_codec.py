@@ -28,8 +28,8 @@ def expected(library, docs):
 
 
 def made(spark, docs, **options):
-    encoded = P.encode_pieces(spark.createDataFrame(docs, SCHEMA), MODEL, **options)
-    return sorted(((r.doc_id, r.ids, r.decoded) for r in P.decode_pieces(encoded, MODEL).collect()), key=str)
+    encoded = P.encode_pieces(spark.createDataFrame(docs, SCHEMA), MODEL, decode=True, **options)
+    return sorted(((r.doc_id, r.ids, r.decoded) for r in encoded.collect()), key=str)
 
 
 def test_words_add_up_to_the_text(library):
@@ -68,6 +68,12 @@ def test_empty_table_extra_columns_and_no_end(spark, library):
     assert P.encode_pieces(frame, MODEL, add_end=False).first().ids == library.encode("a b")
 
 
+def test_documents_in_another_order_are_noticed():
+    batch = P.pd.DataFrame({"sum": [1], "ids": [[1]], "counts": [[1]], "codes": [b""]})
+    with pytest.raises(RuntimeError, match="another order"):
+        P._laid_out(batch, P.pd.DataFrame({"sum": [2], "bucket": [0], "lengths": [b""], "pieces": [b""]}), [])
+
+
 def test_decode_replaces_its_column_and_keeps_others(spark, library):
     frame = spark.createDataFrame([(1, [28705, 3], "old"), (2, None, "old")], "n int, ids array<int>, decoded string")
     found = sorted(map(tuple, P.decode_pieces(frame, MODEL).select("n", "decoded").collect()))
