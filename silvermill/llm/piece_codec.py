@@ -92,20 +92,17 @@ def _spread(words: np.ndarray) -> np.ndarray:
 
 # Encoding
 
-def _batches(docs: DataFrame, content, batch_chars: int) -> DataFrame:
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def _batches(docs: DataFrame, content, batch_chars: int, told, schema: str) -> DataFrame:
+    """What `told` says of each batch: its number, sum, ids, codes and words, both by the hash's order."""
 
-    def pack(number: int, ids: list, codes: list[np.ndarray], seen: dict[str, int]) -> pd.DataFrame:
-        distinct = np.array(list(seen), object)
-        order = np.argsort(_spread(distinct), kind="stable")
+    def finish(number: int, ids: list, codes: list[np.ndarray], seen: dict[str, int]) -> pd.DataFrame:
+        words = np.array(list(seen), object)
+        spread = _spread(words)
+        order = np.argsort(spread, kind="stable")
         place = np.empty(len(order), np.uint32)
         place[order] = np.arange(len(order), dtype=np.uint32)
-        sizes, data = _pack_words(distinct[order].tolist())
-        row = {
-            "batch": number, "ids": ids, "counts": [len(x) for x in codes],
-            "codes": _pack(place[np.concatenate(codes)]), "sizes": sizes, "words": data, "sum": zlib.crc32(data),
-        }
-        return pd.DataFrame({name: [value] for name, value in row.items()})
+        total = zlib.crc32(spread[order].tobytes(), len(seen))
+        return told(number, total, ids, [place[x] for x in codes], words[order], spread[order])
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load_model(content.value)
@@ -120,51 +117,62 @@ def _batches(docs: DataFrame, content, batch_chars: int) -> DataFrame:
                 codes.append(np.fromiter(mine, np.uint32, len(words)))
                 held += len(text)
                 if held >= batch_chars or len(ids) >= 100_000:
-                    yield pack(number, ids, codes, seen)
+                    yield finish(number, ids, codes, seen)
                     ids, codes, seen, held, number = [], [], {}, 0, number + 1
         if ids:
-            yield pack(number, ids, codes, seen)
+            yield finish(number, ids, codes, seen)
 
-    schema = f"batch long, ids array<{kind}>, counts array<long>, codes binary, sizes binary, words binary, sum long"
     return docs.mapInPandas(cut, schema)
 
 
-def _dealt_words(batches: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, batch, sum, sizes, words): the batches' lists, cut at ranges of the hash."""
+def _places(docs: DataFrame, content, batch_chars: int) -> DataFrame:
+    """(batch, sum, ids, counts, codes): each batch's documents and the numbers of their words."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for batch, total, sizes, words in zip(frame["batch"], frame["sum"], frame["sizes"], frame["words"]):
-                words = _unpack_words(sizes, words)
-                bucket = ((_spread(words) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-                used, first = np.unique(bucket, return_index=True)
-                parts = [_pack_words(words[a:b].tolist()) for a, b in zip(first, [*first[1:], len(words)])]
-                yield pd.DataFrame({
-                    "bucket": used.astype(np.int64), "batch": batch, "sum": total,
-                    "sizes": [p[0] for p in parts], "words": [p[1] for p in parts],
-                })
-
-    return batches.select("batch", "sum", "sizes", "words").mapInPandas(
-        deal, "bucket long, batch long, sum long, sizes binary, words binary"
-    )
+    def told(number, total, ids, codes, words, spread) -> pd.DataFrame:
+        counts = [len(x) for x in codes]
+        row = {"batch": number, "sum": total, "ids": ids, "counts": counts, "codes": _pack(np.concatenate(codes))}
+        return pd.DataFrame({name: [value] for name, value in row.items()})
+
+    schema = f"batch long, sum long, ids array<{kind}>, counts array<long>, codes binary"
+    return _batches(docs, content, batch_chars, told, schema)
+
+
+def _dealt_words(docs: DataFrame, content, batch_chars: int, buckets: int) -> DataFrame:
+    """(bucket, batch, sum, sizes, words): the batches' lists, cut at ranges of the hash.
+
+    A batch without words has an empty part, so that it too meets its sum.
+    """
+
+    def told(number, total, ids, codes, words, spread) -> pd.DataFrame:
+        bucket = ((spread >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        used, first = np.unique(bucket, return_index=True) if len(words) else (np.zeros(1, int), [0])
+        parts = [_pack_words(words[a:b].tolist()) for a, b in zip(first, [*first[1:], len(words)])]
+        return pd.DataFrame({
+            "bucket": used.astype(np.int64), "batch": number, "sum": total,
+            "sizes": [p[0] for p in parts], "words": [p[1] for p in parts],
+        })
+
+    schema = "bucket long, batch long, sum long, sizes binary, words binary"
+    return _batches(docs, content, batch_chars, told, schema)
 
 
 def _segmented(frame: pd.DataFrame, content) -> pd.DataFrame:
     """The ids of a bucket's words for each batch; each distinct word is segmented once."""
     model = load_model(content.value)
-    listed = [_unpack_words(*packed).tolist() for packed in zip(frame["sizes"], frame["words"])]
     place: dict[str, int] = {}
-    codes = [
-        np.fromiter((place.setdefault(word, len(place)) for word in words), np.int64, len(words)) for words in listed
-    ]
-    listed.clear()
+    codes = []
+    for packed in zip(frame["sizes"], frame["words"]):
+        words = _unpack_words(*packed)
+        codes.append(np.fromiter((place.setdefault(word, len(place)) for word in words), np.int64, len(words)))
     lengths, pieces = [], []
     distinct = list(place)
     for at in range(0, len(distinct), 100_000):
         found = word_ids(model, distinct[at : at + 100_000])
         lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
         pieces.append(np.fromiter(chain.from_iterable(found), np.uint32, lengths[-1].sum()))
-    length, pieces = np.concatenate(lengths), np.concatenate(pieces)
+    length = np.concatenate([*lengths, np.zeros(0, np.int64)])
+    pieces = np.concatenate([*pieces, np.zeros(0, np.uint32)])
     out = []
     for some in codes:
         size = length[some]
@@ -227,8 +235,7 @@ def encode_pieces(
     # distinct words are about a seventh of a batch of prose; no more than the text at worst
     size = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 7
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
-    batches = _batches(rows, content, batch_chars)
-    segmented = _dealt_words(batches, buckets).groupBy("bucket").applyInPandas(
+    segmented = _dealt_words(rows, content, batch_chars, buckets).groupBy("bucket").applyInPandas(
         lambda frame: _segmented(frame, content),
         "batch long, bucket long, sum long, lengths binary, pieces binary",
     )
@@ -242,7 +249,7 @@ def encode_pieces(
         return frame
 
     schema = f"doc_id {kind}, ids array<int>" + ", decoded string" * decode
-    return batches.select("batch", "sum", "ids", "counts", "codes").groupBy("batch").cogroup(
+    return _places(rows, content, batch_chars).groupBy("batch").cogroup(
         segmented.groupBy("batch")
     ).applyInPandas(lay_out, schema)
 
