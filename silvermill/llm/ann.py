@@ -176,6 +176,7 @@ class AnnIndex:
     near: np.ndarray
     norm: float
     counts: np.ndarray
+    keep_ids: int = 21
 
 
 def usable_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -224,7 +225,7 @@ def build_index(
             F.lit(0).alias("list"), F.lit(0).alias("block"), F.lit(1).alias("blocks"), "key",
             F.col("ids")[0].alias("least"), "vector",
         )
-        return AnnIndex(vectors, empty, none, none, 0.0, np.zeros(0, np.int64))
+        return AnnIndex(vectors, empty, none, none, 0.0, np.zeros(0, np.int64), keep_ids)
     norm = float(np.sqrt(facts.norm2))
     sample = vectors.orderBy(F.xxhash64("key"), "vector").limit(max_sample).select("vector").toPandas()
     points = raised(np.stack(sample["vector"]), norm)
@@ -259,7 +260,7 @@ def build_index(
     postings = dealt.join(sizes, "list").withColumn(
         "block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     ).select("list", "block", "blocks", "key", "least", "vector")
-    return AnnIndex(vectors, postings, centroids, near, norm, counts)
+    return AnnIndex(vectors, postings, centroids, near, norm, counts, keep_ids)
 
 
 def raised(vectors: np.ndarray, norm: float) -> np.ndarray:
@@ -423,7 +424,11 @@ def nearest(
     A row is no neighbour of itself (of its own id). Nearest first, ties to the
     smaller id. Rows without a usable vector have no answer; queries with equal
     vectors are searched once. Rows that are repeated in `table` get one answer.
+    `k` must be below the `keep_ids` that the index was built with: it has no more
+    ids of vectors that are equal.
     """
+    if k >= index.keep_ids:
+        raise ValueError(f"the index keeps {index.keep_ids} ids of a vector; build it with keep_ids above {k}")
     usable = usable_vectors(table, id_col, vector_col)
     asked = usable.select(
         F.col("id").alias("query_id"), F.transform("vector", lambda x: x + 0.0).alias("vector")

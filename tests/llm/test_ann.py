@@ -96,3 +96,13 @@ def test_recall_with_many_lists():
 def test_different_vectors_of_one_score_go_to_the_smaller_ids(spark):
     data = [(i, [float(j == i % 60) * (1 + i // 60) for j in range(60)]) for i in range(120)]
     assert found(spark, data, 5) == brute(data, 5)
+
+
+def test_more_neighbours_than_the_index_keeps_are_refused(spark):
+    data = [(i, [1.0, 2.0]) for i in range(30)] + [(40 + i, [float(i), 1.0]) for i in range(3)]
+    table = spark.createDataFrame(data, SCHEMA)
+    with pytest.raises(ValueError, match="keep_ids"):
+        ann.nearest(ann.build_index(table), table, k=25)
+    index = ann.build_index(table, keep_ids=26)
+    got = ann.nearest(index, table.where("vec_id = 0"), k=25, ratio=100.0).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [i for i, _ in brute(data, 25)[0]]
