@@ -337,6 +337,12 @@ def all_sql() -> dict[str, str]:
                 SELECT *, row_number() OVER (PARTITION BY user_id, event_type
                     ORDER BY {PART_SEQ} DESC, event_id DESC) AS place
                 FROM events) AS ranked WHERE place = 1""",
+        "filter_clustered": """
+            SELECT o_orderkey, o_custkey, o_totalprice, 'customer' AS found_by FROM orders
+            WHERE o_custkey BETWEEN 20 AND 40
+            UNION ALL
+            SELECT o_orderkey, o_custkey, o_totalprice, 'month' FROM orders
+            WHERE o_orderdate >= TIMESTAMP '1996-08-01' AND o_orderdate < TIMESTAMP '1996-09-01'""",
         "filter_text": f"SELECT * EXCLUDE (y) FROM ({CAST_ROWS}) AS r WHERE credit_id = '0000000000'",
         "filter_number": f"SELECT * FROM ({list_table('genres')}) AS r WHERE id = -9999",
         "filter_number_as_text": f"SELECT * FROM ({list_table('keywords')}) AS r WHERE id = -9999",

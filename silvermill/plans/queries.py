@@ -343,6 +343,24 @@ def query_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def query_filter_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some customers' orders, and one month's, from files in Z-order of both columns."""
+    orders = star.table(spark, sf_dir, "orders")
+    silver = SilverTable(
+        spark, new_folder(spark, "silver"), ["o_orderkey"], slices=4,
+        cluster_by=["o_custkey", "o_orderdate"],
+    )
+    silver.overwrite(orders.where(F.col("o_orderdate") < "1997-01-01"))
+    silver.apply(orders.where(F.col("o_orderdate") >= "1996-06-01"))
+    found = silver.read().select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    return rows.append_union(
+        found.where(F.col("o_custkey").between(20, 40)).withColumn("found_by", F.lit("customer")),
+        found.where(
+            (F.col("o_orderdate") >= "1996-08-01") & (F.col("o_orderdate") < "1996-09-01")
+        ).withColumn("found_by", F.lit("month")),
+    ).drop("o_orderdate")
+
+
 def query_silver_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first load creates the table; the second replaces it on demand."""
     silver = SilverTable(spark, new_folder(spark, "silver"), ORDER_KEYS)

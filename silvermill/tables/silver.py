@@ -11,13 +11,15 @@ records the number of folders, `_seq`, the bronze part a row came from, and
 A merge writes its new folders to `.incoming` inside the table, which readers
 skip. Only when they are complete do they replace the old ones, so a driver that
 dies at any point loses nothing: the next write throws an incomplete `.incoming`
-away and finishes a complete one.
+away and finishes a complete one. An overwrite of a table that is there goes
+through `.replacing` in the same way, and then all old folders go.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -42,9 +44,15 @@ from silvermill.sources.filesystem import (
 )
 from silvermill.sources.listing import read_if_exists
 from silvermill.tables.staging import BATCH, StagedBatch, stage, with_origin
+from silvermill.tables.zorder import share_bounds, z_value
 
 _SLICE_PREFIX = "slice_of_"
 _UNKNOWN = "unknown-"
+_Z = "_z"
+
+
+def _slice_folders(spark: SparkSession, path: str) -> list[str]:
+    return [name for name in subfolders(spark, path) if name.startswith(_SLICE_PREFIX)]
 
 
 class SilverTable:
@@ -60,6 +68,14 @@ class SilverTable:
     that fits its values. A merge looks for its keys with a filter on the target's
     scan (`key_filter`); the blooms let it leave out row groups of a touched slice
     that hold none of a small batch's keys. Files without them stay readable.
+
+    `cluster_by` sorts the rows of each file in Z-order of these columns, by
+    `cluster_bits` bits of each one's place among the rows written, so that a filter
+    on any of them leaves out row groups. It holds for the files that this table
+    object writes; others stay as they are. The places are found by one more pass
+    over these columns alone. `write_options` go to the Parquet writer.
+
+    A swap deletes and moves up to `swap_threads` folders or files at a time.
     """
 
     def __init__(
@@ -71,6 +87,10 @@ class SilverTable:
         slices: int = 16,
         null_safe_keys: bool = False,
         key_blooms: bool = False,
+        cluster_by: Sequence[str] = (),
+        cluster_bits: int = 6,
+        write_options: Mapping[str, str] | None = None,
+        swap_threads: int = 32,
     ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
@@ -79,6 +99,10 @@ class SilverTable:
         self.new_slices = slices
         self.null_safe_keys = null_safe_keys
         self.key_blooms = key_blooms
+        self.cluster_by = tuple(cluster_by)
+        self.cluster_bits = cluster_bits
+        self.write_options = dict(write_options or {})
+        self.swap_threads = swap_threads
 
     def exists(self) -> bool:
         return self._stored() is not None
@@ -93,14 +117,16 @@ class SilverTable:
 
     def recover(self) -> None:
         """Finish what a writer that died has begun. Every write does this first."""
-        if self._swapping():
-            self._swap()
-        else:
-            delete_folder(self.spark, self._incoming)
+        for incoming in (self._incoming, self._replacing):
+            if self._complete(incoming):
+                self._swap(incoming)
+            else:
+                delete_folder(self.spark, incoming)
 
     def overwrite(self, df: DataFrame, seq: str | None = None) -> None:
-        """Replace the whole table. `df` must not read from it."""
-        self._write(with_origin(df, seq), self.new_slices, "overwrite")
+        """Replace the whole table, or leave it as it was. `df` must not read from it."""
+        self.recover()
+        self._replace_all(with_origin(df, seq), self.new_slices)
 
     def append(self, df: DataFrame, seq: str | None = None) -> None:
         """Add rows without matching keys; loading a part twice doubles it."""
@@ -158,7 +184,7 @@ class SilverTable:
                 rows = staged.everything()
                 if sentinels:
                     rows = self._without_placeholders(rows, sentinels)
-                self._write(rows, slices, "overwrite", batch)
+                self._replace_all(rows, slices, batch, staged.everything())
             else:
                 self._merge(stored, staged, slices, sentinels, newer_only, rewrite, batch)
         finally:
@@ -205,7 +231,7 @@ class SilverTable:
         if staged.unknown is not None:
             rows = rows.unionByName(staged.unknown)
         if rewritten or staged.unknown is not None:
-            self._replace_folders(rows, slices, batch)
+            self._replace_folders(rows, slices, batch, self._columns_seen(target, staged))
         if set(staged.touched) - set(rewritten):
             self._write(staged.inserts.where(~here), slices, "append")
 
@@ -257,42 +283,81 @@ class SilverTable:
             key = F.when(all_known(self.keys), key).otherwise(unknown)
         return key
 
+    def _columns_seen(self, target: DataFrame, staged: StagedBatch) -> DataFrame | None:
+        """The columns to cluster by, as they lie in files, without the merge's joins."""
+        if not self.cluster_by:
+            return None
+        return target.select(*self.cluster_by).unionByName(staged.everything().select(*self.cluster_by))
+
     @property
     def _incoming(self) -> str:
         return f"{self.path}/.incoming"
 
+    @property
+    def _replacing(self) -> str:
+        return f"{self.path}/.replacing"
+
+    def _complete(self, incoming: str) -> bool:
+        return any_match(self.spark, f"{incoming}/_SUCCESS")
+
     def _swapping(self) -> bool:
-        return any_match(self.spark, f"{self._incoming}/_SUCCESS")
+        return self._complete(self._incoming) or self._complete(self._replacing)
 
-    def _replace_folders(self, rows: DataFrame, slices: int, batch: str | None) -> None:
+    def _replace_folders(
+        self, rows: DataFrame, slices: int, batch: str | None, seen: DataFrame | None = None
+    ) -> None:
         """Replace the folders that `rows` fall into, and no others."""
-        self._write(rows, slices, "overwrite", batch, self._incoming)
-        if not self._swapping():
-            mark(self.spark, f"{self._incoming}/_SUCCESS")
-        self._swap()
+        self._write_and_swap(rows, slices, batch, self._incoming, seen)
+
+    def _replace_all(
+        self, rows: DataFrame, slices: int, batch: str | None = None, seen: DataFrame | None = None
+    ) -> None:
+        """A table that is not there yet is written in place: there is nothing to lose."""
+        if self.exists():
+            self._write_and_swap(rows, slices, batch, self._replacing, seen)
+        else:
+            self._write(rows, slices, "overwrite", batch, seen=seen)
+
+    def _write_and_swap(
+        self, rows: DataFrame, slices: int, batch: str | None, incoming: str, seen: DataFrame | None
+    ) -> None:
+        self._write(rows, slices, "overwrite", batch, incoming, seen)
+        if not self._complete(incoming):
+            mark(self.spark, f"{incoming}/_SUCCESS")
+        self._swap(incoming)
         self.spark.catalog.refreshByPath(self.path)
 
-    def _swap(self) -> None:
+    def _swap(self, incoming: str) -> None:
         """First all old folders go, then the new files come. Each step can be
         repeated, and the new files exist all the time. A copy that a store made
         before it died counts as the move, as its file is then complete."""
-        cleared = f"{self._incoming}/_CLEARED"
-        folders = [name for name in subfolders(self.spark, self._incoming) if "=" in name]
+        cleared = f"{incoming}/_CLEARED"
+        folders = _slice_folders(self.spark, incoming)
         if not any_match(self.spark, cleared):
-            for name in folders:
-                delete_folder(self.spark, f"{self.path}/{name}")
+            old = _slice_folders(self.spark, self.path) if incoming == self._replacing else folders
+            self._side_by_side(lambda name: delete_folder(self.spark, f"{self.path}/{name}"), old)
             mark(self.spark, cleared)
-        for name in folders:
-            for file in file_names(self.spark, f"{self._incoming}/{name}"):
-                move_file(
-                    self.spark, f"{self._incoming}/{name}/{file}", f"{self.path}/{name}/{file}"
-                )
+        self._side_by_side(
+            lambda file: move_file(self.spark, f"{incoming}/{file}", f"{self.path}/{file}"),
+            [f"{name}/{file}" for name in folders
+             for file in file_names(self.spark, f"{incoming}/{name}")],
+        )
         # _SUCCESS goes last but one, so that a swap stopped here is finished, not
         # thrown away, and what is thrown away holds no file.
-        for name in folders:
-            delete_folder(self.spark, f"{self._incoming}/{name}")
-        delete_folder(self.spark, f"{self._incoming}/_SUCCESS")
-        delete_folder(self.spark, self._incoming)
+        self._side_by_side(lambda name: delete_folder(self.spark, f"{incoming}/{name}"), folders)
+        delete_folder(self.spark, f"{incoming}/_SUCCESS")
+        delete_folder(self.spark, incoming)
+
+    def _side_by_side(self, step: Callable[[str], None], paths: Iterable[str]) -> None:
+        """The store does the work; the driver's threads only wait. The first failure ends it."""
+        with ThreadPoolExecutor(self.swap_threads) as pool:
+            running = [pool.submit(step, path) for path in paths]
+            try:
+                for each in running:
+                    each.result()
+            except BaseException:
+                pool.shutdown(cancel_futures=True)
+                raise
 
     def _write(
         self,
@@ -301,18 +366,26 @@ class SilverTable:
         mode: str,
         batch: str | None = None,
         path: str | None = None,
+        seen: DataFrame | None = None,
     ) -> None:
         """Rebalanced by slice: small slices share a task, and adaptive
-        execution splits a slice that is too large for one."""
+        execution splits a slice that is too large for one. `seen` gives the bounds
+        to cluster by where `rows` are costly to make."""
         column = f"{_SLICE_PREFIX}{slices}"
         blooms = {}
         if self.key_blooms:
             blooms = {f"parquet.bloom.filter.enabled#{key}": "true" for key in self.keys}
             blooms["parquet.bloom.filter.adaptive.enabled"] = "true"
-        (rows.withColumn(column, self._slice_name(slices, batch))
-         .hint("rebalance", F.col(column))
-         .write.mode(mode)
+        dealt = rows.withColumn(column, self._slice_name(slices, batch)).hint("rebalance", F.col(column))
+        if self.cluster_by:
+            bounds = share_bounds(rows if seen is None else seen, self.cluster_by, self.cluster_bits)
+            dealt = (
+                dealt.withColumn(_Z, z_value(rows.schema, bounds, self.cluster_bits))
+                .sortWithinPartitions(column, _Z).drop(_Z)
+            )
+        (dealt.write.mode(mode)
          .option("partitionOverwriteMode", "static")
          .options(**blooms)
+         .options(**self.write_options)
          .partitionBy(column)
          .parquet(path or self.path))

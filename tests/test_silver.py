@@ -211,6 +211,53 @@ def test_a_stopped_swap_loses_nothing(spark, table, monkeypatch, stop_at):
     assert rows(reopened.read()) == expected
 
 
+@pytest.mark.parametrize("stop_at", ["written", "first_cleared", "cleared", "first_moved"])
+@pytest.mark.parametrize("how", ["overwrite", "always"])
+def test_a_stopped_overwrite_is_finished(spark, table, monkeypatch, stop_at, how):
+    table.apply(frame(spark, [(i, "a", "x") for i in range(40)]))
+    new = [(i, "b", "y") for i in range(30)]
+    other = SilverTable(spark, table.path, KEYS, slices=3)
+    seen = []
+
+    class Stopped(Exception):
+        pass
+
+    def stopping(real, limit):
+        def run(spark, path, *rest):
+            if "=" in path:
+                seen.append(path)
+                if len(seen) > limit:
+                    raise Stopped
+            return real(spark, path, *rest)
+        return run
+
+    name = "delete_folder" if stop_at in ("written", "first_cleared") else "move_file"
+    with monkeypatch.context() as patch:
+        patch.setattr(silver, name, stopping(getattr(silver, name), int(stop_at.startswith("first"))))
+        with pytest.raises(Stopped):
+            if how == "overwrite":
+                other.overwrite(frame(spark, new))
+            else:
+                other.apply(frame(spark, new), bootstrap="always")
+    with pytest.raises(RuntimeError, match="half swapped"):
+        table.read()
+    table.recover()
+    assert rows(table.read()) == sorted(new, key=lambda row: str(row[0]))
+    assert not os.path.exists(f"{table.path}/.replacing")
+
+
+def test_an_overwrite_that_fails_leaves_the_table(spark, table):
+    table.apply(frame(spark, [(1, "a", "x")]))
+    bad = spark.range(1).select(
+        F.lit(1).alias("k1"), F.lit("a").alias("k2"), F.raise_error(F.lit("no")).cast("string").alias("v")
+    )
+    with pytest.raises(Exception, match="no"):
+        table.overwrite(bad)
+    assert rows(table.read()) == [(1, "a", "x")]
+    table.overwrite(frame(spark, [(2, "b", "y")]))
+    assert rows(table.read()) == [(2, "b", "y")]
+
+
 def test_an_incomplete_write_is_thrown_away(spark, table):
     table.apply(frame(spark, [(1, "a", "x")]))
     os.makedirs(f"{table.path}/.incoming/slice_of_4=key-0")
