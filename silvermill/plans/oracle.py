@@ -355,6 +355,20 @@ def all_sql() -> dict[str, str]:
         "filtered_count": f"SELECT count(*) AS rows FROM ({CREW_ROWS}) AS r WHERE credit_id = '0000000000'",
         "distinct_count": f"""
             SELECT count(*) AS distinct_values FROM (SELECT DISTINCT character FROM ({CAST_ROWS}) AS r) AS d""",
+        "distinct_estimates": union(
+            f"""SELECT '{name}' AS column_name, count(*) AS rows, count(*) FILTER ({missing}) AS missing,
+                       count(DISTINCT {name}) + count(DISTINCT CASE WHEN {name} IS NULL THEN 1 END) AS distinct_values,
+                       TRUE AS within_bound FROM events"""
+            for name, missing in {
+                **{name: f"{name} IS NULL" for name in ("event_id", "ts", "user_id", "event_type", "props")},
+                "value": "value IS NULL OR isnan(value)",
+            }.items()
+        ),
+        "profile_refresh": union(
+            f"""SELECT '{name}' AS column_name, count(*) AS rows, count(*) FILTER ({name} IS NULL) AS missing
+                FROM ({merge(UNKNOWN_BEFORE, UNKNOWN_SINCE, ORDER_KEYS, ORDERS)}) AS merged"""
+            for name in ORDERS
+        ),
         "distinct_rows": "SELECT DISTINCT user_id, event_type FROM events",
         "null_profile": union(
             f"SELECT '{name}' AS column_name, CAST({count if count != '0' else '0 * count(*)'} AS BIGINT) AS null_count FROM orders"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from silvermill.functions import equals, part_date, part_time
-from silvermill.operators import quality, rows
+from silvermill.operators import quality, rows, sketches
 from silvermill.operators.drift import element_drift
 from silvermill.operators.normalize import normalize_json_array
 from silvermill.operators.project import fill_sentinels, flatten_struct, typed_projection
@@ -21,7 +21,7 @@ from silvermill.plans.pipeline import (
     silver_quality,
     silver_table,
 )
-from silvermill.scratch import new_folder, with_scratch
+from silvermill.scratch import new_folder, stored, with_scratch
 from silvermill.sources import (
     SEQ,
     list_objects,
@@ -36,7 +36,7 @@ from silvermill.sources import (
 )
 from silvermill.spec import ColumnSpec, TableSpec
 from silvermill.streaming import ingest_available
-from silvermill.tables import BucketedTable, SilverTable
+from silvermill.tables import BucketedTable, SilverTable, TableProfile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -567,6 +567,33 @@ def query_distinct_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def query_distinct_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts of every column of events from one sketch per part, and whether
+    each is as near to the exact count as its bound says."""
+    events = read_parts(spark, event_parts(spark, sf_dir), "events")
+    kept = stored(sketches.partial_profile(events, [SEQ]), "sketches")
+    exact = rows.append_union(*[
+        quality.distinct_count(events, name).withColumn("column_name", F.lit(name))
+        for name in events.columns if name != SEQ
+    ])
+    off = F.abs(F.col("distinct_estimate") - F.col("distinct_values"))
+    return sketches.merged_profile(kept).join(exact, "column_name").select(
+        "column_name", "rows", "missing", "distinct_values",
+        (off <= 1 + sketches.error_bound() * F.col("distinct_values")).alias("within_bound"),
+    )
+
+
+def query_profile_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of a table after a merge, of which only changed slices were read again."""
+    silver = SilverTable(spark, new_folder(spark, "silver"), ORDER_KEYS)
+    profile = TableProfile(silver, new_folder(spark, "profile"))
+    silver.overwrite(unknown_status(orders_before(spark, sf_dir)))
+    profile.refresh()
+    silver.apply(unknown_status(orders_changed(spark, sf_dir)))
+    profile.refresh()
+    return profile.read().select("column_name", "rows", "missing")
+
+
 def query_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.distinct_rows(star.table(spark, sf_dir, "events"), "user_id", "event_type")
 

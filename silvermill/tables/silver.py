@@ -42,12 +42,13 @@ from silvermill.sources.filesystem import (
     move_file,
     subfolders,
 )
-from silvermill.sources.listing import read_if_exists
+from silvermill.sources.listing import list_objects, read_if_exists
 from silvermill.tables.staging import BATCH, StagedBatch, stage, with_origin
 from silvermill.tables.zorder import share_bounds, z_value
 
 _SLICE_PREFIX = "slice_of_"
 _UNKNOWN = "unknown-"
+SLICE = "_slice"
 _Z = "_z"
 
 
@@ -108,13 +109,28 @@ class SilverTable:
         return self._stored() is not None
 
     def read(self) -> DataFrame:
-        if self._swapping():
-            raise RuntimeError(f"{self.path} is half swapped: see recover()")
-        stored = self._stored()
-        if stored is None:
-            raise FileNotFoundError(f"no silver table at {self.path}")
+        stored = self._readable()
         return stored.drop(self._slice_column(stored), SEQ, BATCH)
 
+    def read_with_slices(self) -> DataFrame:
+        """The table and a column `_slice`, the folder a row lies in; a filter on it
+        leaves out whole folders."""
+        stored = self._readable()
+        column = self._slice_column(stored)
+        return stored.drop(SEQ, BATCH).withColumnRenamed(column, SLICE)
+
+    def slice_states(self) -> dict[str, str]:
+        """Per slice, a digest of its files' names and sizes, which no two writes share.
+        Files are listed, not opened."""
+        files = list_objects(self.spark, self.path, "*.parquet").select(
+            F.regexp_extract("path", f"/{_SLICE_PREFIX}[0-9]+=([^/]+)/[^/]+$", 1).alias("slice"),
+            F.concat_ws(" ", F.element_at(F.split("path", "/"), -1), "length").alias("file"),
+        )
+        per_slice = files.where("slice <> ''").groupBy("slice").agg(
+            F.sha2(F.concat_ws(",", F.array_sort(F.collect_list("file"))), 256).alias("state")
+        )
+        return {row["slice"]: row["state"] for row in per_slice.collect()}
+
     def recover(self) -> None:
         """Finish what a writer that died has begun. Every write does this first."""
         for incoming in (self._incoming, self._replacing):
@@ -249,6 +265,14 @@ class SilverTable:
         real = rows.where(~placeholder)
         return without_placeholders(rows, real, parents, placeholder)
 
+    def _readable(self) -> DataFrame:
+        if self._swapping():
+            raise RuntimeError(f"{self.path} is half swapped: see recover()")
+        stored = self._stored()
+        if stored is None:
+            raise FileNotFoundError(f"no silver table at {self.path}")
+        return stored
+
     def _stored(self) -> DataFrame | None:
         stored = read_if_exists(self.spark, self.path)
         if stored is not None and BATCH not in stored.columns:

@@ -1,0 +1,102 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from silvermill.operators.quality import distinct_count, null_profile
+from silvermill.operators.sketches import error_bound, merged_profile, partial_profile
+from silvermill.tables import SilverTable, TableProfile, profile as profiles
+from tests.conftest import rows
+
+
+def wide(spark, n, start=0):
+    i = F.col("id")
+    return spark.range(start, start + n).select(
+        i.alias("k"), (i % 37).alias("few"), F.when(i % 3 != 0, F.md5((i % 5000).cast("string"))).alias("text"),
+        F.when(i % 11 == 0, F.lit(float("nan"))).when(i % 7 == 0, None).otherwise(i / 4).alias("x"),
+        F.array(i % 2).alias("listed"), (i % 10).alias("part"),
+    )
+
+
+def test_parts_merge_into_the_whole(spark):
+    frame = wide(spark, 30000)
+    whole = {r.column_name: r for r in merged_profile(partial_profile(frame)).collect()}
+    parts = {r.column_name: r for r in merged_profile(partial_profile(frame, ["part"])).collect()}
+    missing = {r.column_name: r.null_count for r in null_profile(frame).collect()}
+    assert set(whole) - set(parts) == {"part"} and set(parts) == {"k", "few", "text", "x", "listed"}
+    for name, row in parts.items():
+        exact = distinct_count(frame, name).first()[0]
+        assert row.rows == 30000 and row.missing == missing[name] == whole[name].missing
+        for found in (row, whole[name]):
+            assert abs(found.distinct_estimate - exact) <= 1 + error_bound() * exact
+    assert parts["few"].distinct_estimate == 37 and parts["listed"].distinct_estimate == 2
+
+
+def test_no_rows_and_only_nulls(spark):
+    empty = spark.createDataFrame([], "p int, a string, b double")
+    assert rows(merged_profile(partial_profile(empty))) == [("a", 0, 0, 0), ("b", 0, 0, 0), ("p", 0, 0, 0)]
+    assert partial_profile(empty, ["p"]).collect() == []
+    nulls = spark.createDataFrame([(None, None, None)] * 3, empty.schema)
+    assert rows(merged_profile(partial_profile(nulls, ["p"]))) == [("a", 3, 3, 1), ("b", 3, 3, 1)]
+
+
+def check(profile, expected):
+    """Counts as expected, estimates within their bound."""
+    got = rows(profile.read())
+    assert [row[:3] for row in got] == [row[:3] for row in expected]
+    for row, (*_, exact) in zip(got, expected):
+        assert abs(row[3] - exact) <= 1 + error_bound() * exact
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return SilverTable(spark, str(tmp_path / "t"), ["k"], slices=4)
+
+
+def test_a_merge_into_one_slice_reads_that_slice_again(spark, table, tmp_path, monkeypatch):
+    table.overwrite(wide(spark, 2000))
+    profile = TableProfile(table, str(tmp_path / "p"))
+    with pytest.raises(FileNotFoundError):
+        profile.read()
+    assert profile.refresh() == [f"key-{i}" for i in range(4)]
+    assert profile.refresh() == []
+    here = table.read_with_slices().where("_slice = 'key-2'").select(table.read().columns)
+    table.apply(here.limit(5).withColumn("few", F.lit(99).cast("long")))
+    read, real = [], profiles.partial_profile
+
+    def watching(df, *rest):
+        read.extend(df.inputFiles())
+        return real(df, *rest)
+
+    monkeypatch.setattr(profiles, "partial_profile", watching)
+    assert profile.refresh() == ["key-2"]
+    assert read and os.listdir(profile.path) == ["v-1"]
+    full = TableProfile(table, str(tmp_path / "full"))
+    full.refresh()
+    counts = ("column_name", "rows", "missing")
+    assert rows(profile.read().select(*counts)) == rows(full.read().select(*counts))
+    for name, estimate in profile.read().select("column_name", "distinct_estimate").collect():
+        exact = distinct_count(table.read(), name).first()[0]
+        assert abs(estimate - exact) <= 1 + error_bound() * exact
+    assert profile.read().where("column_name = 'few'").first().distinct_estimate > 37
+
+
+def test_overwritten_tables_lose_old_slices(spark, table, tmp_path):
+    table.overwrite(wide(spark, 500).withColumn("k", F.when(F.col("k") > 9, F.col("k"))))
+    profile = TableProfile(table, str(tmp_path / "p"), columns=["k", "few"])
+    profile.refresh()
+    check(profile, [("few", 500, 0, 37), ("k", 500, 10, 491)])
+    table.overwrite(wide(spark, 3))
+    profile.refresh()
+    check(profile, [("few", 3, 0, 3), ("k", 3, 0, 3)])
+
+
+def test_a_refresh_that_dies_changes_nothing(spark, table, tmp_path):
+    table.overwrite(wide(spark, 50))
+    profile = TableProfile(table, str(tmp_path / "p"), columns=["k"])
+    profile.refresh()
+    os.makedirs(f"{profile.path}/v-7/_temporary")
+    check(profile, [("k", 50, 0, 50)])
+    table.apply(wide(spark, 10, start=50))
+    profile.refresh()
+    check(profile, [("k", 60, 0, 60)])
