@@ -12,7 +12,7 @@ from silvermill.llm.following import ring_buckets
 from silvermill.llm.jaccard_join import near_duplicates
 from silvermill.llm.line_dedup import dedup_lines
 from silvermill.llm.lm_scoring import score_documents
-from silvermill.llm.mixing import mix_sources, word_count
+from silvermill.llm.mixing import mix_sources, training_order, word_count
 from silvermill.llm.packing import pack_pieces, token_pieces
 from silvermill.llm.simhash import fingerprint_rows, likeness, near_fingerprints
 from silvermill.llm.text import read_table, whole_text
@@ -118,10 +118,16 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "mix-sizes",
     )
-    mixed = mix_sources(sized, size_col="size")
-    return mixed.select(
-        "doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken",
-        F.round("mix.position", 6).alias("position"),
+    mixed = stored(
+        mix_sources(sized, size_col="size").withColumn("row", F.monotonically_increasing_id()), "mixed"
+    )
+    ordered = stored(training_order(mixed.select("row", "mix")), "mix-order")
+    copies = ordered.groupBy("row").agg(
+        F.sum("mix.words").alias("taken"), F.min("mix.position").alias("first")
+    )
+    return mixed.join(copies, "row", "left").select(
+        "doc_id", "mix.size", "mix.source_size", "mix.target",
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.round("first", 6).alias("position"),
     )
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silvermill.llm.mixing import CURRICULUM, mix_sources, source_targets, training_order, training_position
+from silvermill.llm.queries import op7_mixing
 from tests.llm.brute import shared_targets, words
 
 SCHEMA = "doc_id long, text string, source string"
@@ -53,6 +54,25 @@ def test_taken_words_meet_targets(spark):
     assert all(abs(taken[s] - expected[s]) < 1 for s in sizes)
 
 
+def test_the_query_takes_what_the_ordered_copies_hold(spark, tmp_path):
+    rows = corpus(80)
+    rows += [rows[0], (3, "another text of id three", "b")]  # a repeated row and a shared id
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    plain = mixed(spark, rows)
+    expected = sorted(
+        (r.doc_id, r.size, r.source_size, r.target, r.taken, -1.0 if r.position is None else round(r.position, 6))
+        for r in plain
+    )
+    found = sorted(
+        (r.doc_id, r.size, r.source_size, r.target, r.taken, -1.0 if r.position is None else r.position)
+        for r in op7_mixing(spark, str(tmp_path)).collect()
+    )
+    assert len(found) == len(rows)
+    for got, want in zip(found, expected):
+        assert got[:3] == want[:3] and got[4] == want[4]
+        assert abs(got[3] - want[3]) < 1e-9 and abs(got[5] - want[5]) < 2e-6
+
+
 def test_reruns_and_other_layouts_agree(spark):
     rows = corpus()
     shuffled = random.Random(9).sample(rows, len(rows))
