@@ -49,7 +49,6 @@ from silvermill.tables.zorder import share_bounds, z_value
 _SLICE_PREFIX = "slice_of_"
 _UNKNOWN = "unknown-"
 SLICE = "_slice"
-_Z = "_z"
 
 
 def _slice_folders(spark: SparkSession, path: str) -> list[str]:
@@ -403,9 +402,10 @@ class SilverTable:
         dealt = rows.withColumn(column, self._slice_name(slices, batch)).hint("rebalance", F.col(column))
         if self.cluster_by:
             bounds = share_bounds(rows if seen is None else seen, self.cluster_by, self.cluster_bits)
+            z = "_z" + "_" * max(map(len, dealt.columns))  # no column of the table
             dealt = (
-                dealt.withColumn(_Z, z_value(rows.schema, bounds, self.cluster_bits))
-                .sortWithinPartitions(column, _Z).drop(_Z)
+                dealt.withColumn(z, z_value(rows.schema, bounds, self.cluster_bits))
+                .sortWithinPartitions(column, z).drop(z)
             )
         (dealt.write.mode(mode)
          .option("partitionOverwriteMode", "static")

@@ -100,11 +100,11 @@ def test_all_kinds_of_columns_order_as_their_numbers(spark):
 
 def test_no_rows_one_value_and_too_many_bits(spark, tmp_path):
     table = SilverTable(spark, str(tmp_path / "z"), ["k"], cluster_by=["a", "b"])
-    same = spark.createDataFrame([(i, 7, None) for i in range(50)], "k int, a int, b string")
+    same = spark.createDataFrame([(i, 7, None, i) for i in range(50)], "k int, a int, b string, _z int")
     table.apply(same.limit(0))
     assert not table.exists()
     table.apply(same)
     table.append(same)
-    assert table.read().count() == 100
+    assert table.read().count() == 100 and table.read().where("_z = k").count() == 100
     with pytest.raises(ValueError):
         z_value(same.schema, {"a": [], "b": []}, 32)
