@@ -21,6 +21,12 @@ become one component. In blocks that still hold several, the same is done once
 more with leaders: sets that no other leader is near. Trees are then built for
 the blocks that even so hold several components, and give out every pair of
 different ones that may be a link.
+
+No block comes whole into one task. Sets that a map task finds more than `RUN`
+times under one name leave it as runs of their own, and the name's bucket gets
+only their smallest. For leaders and trees, a block is dealt to cells: the members
+of its commonest component once each, in parts, and the others' beside every part,
+since only different components are compared.
 """
 
 from __future__ import annotations
@@ -37,6 +43,8 @@ from silvermill.scratch import stored
 
 COORDINATES = 256
 LEAF = 32
+RUN = 64
+RUN_NODES = 65_536
 
 
 # Sets
@@ -133,7 +141,11 @@ def _document_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _blocks(docs: DataFrame, shingle: int, percent: int, largest: int, buckets: int) -> DataFrame:
-    """(bucket, names, nodes): the blocks of every set, packed by hash bucket."""
+    """The blocks of every set, packed by hash bucket.
+
+    (bucket, names, nodes, hot, run): a run holds many sets of one name, in a bucket
+    that does not follow from it; `hot` are the names of a bucket that have runs.
+    """
     starts = size_bands(percent, largest)
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,39 +170,69 @@ def _blocks(docs: DataFrame, shingle: int, percent: int, largest: int, buckets:
         if held:
             yield _by_bucket(names, nodes, buckets)
 
-    return docs.select("text").mapInPandas(deal, "bucket int, names binary, nodes binary")
+    return docs.select("text").mapInPandas(
+        deal, "bucket int, names binary, nodes binary, hot binary, run boolean"
+    )
 
 
 def _by_bucket(names: list, nodes: list, buckets: int) -> pd.DataFrame:
     name, node = np.concatenate(names), np.concatenate(nodes)
+    order = np.lexsort((node, name))
+    name, node = name[order], node[order]
+    first = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+    size = np.diff(np.append(first, len(name)))
+    runs = []
+    for i in np.flatnonzero(size > RUN):
+        for at in range(first[i], first[i] + size[i], RUN_NODES):
+            mine = node[at : min(at + RUN_NODES, first[i] + size[i])]
+            place = mix(name[first[i] : first[i] + 1] ^ mine[:1].astype(np.uint64))[0]
+            runs.append((int(place % np.uint64(buckets)), name[first[i]].tobytes(), mine.tobytes(), b"", True))
+    least = np.repeat(size <= RUN, size)
+    least[first] = True
+    hot = np.repeat(size > RUN, size)[least]
+    name, node = name[least], node[least]
     bucket = (name % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     used, first = np.unique(bucket[order], return_index=True)
-    ends = [*first[1:], len(order)]
-    return pd.DataFrame({
-        "bucket": used,
-        "names": [name[order[a:b]].tobytes() for a, b in zip(first, ends)],
-        "nodes": [node[order[a:b]].tobytes() for a, b in zip(first, ends)],
-    })
+    packed = [
+        (int(at), name[mine].tobytes(), node[mine].tobytes(), name[mine][hot[mine]].tobytes(), False)
+        for at, mine in zip(used, np.split(order, first[1:]))
+    ]
+    return pd.DataFrame(packed + runs, columns=["bucket", "names", "nodes", "hot", "run"])
 
 
 def _members_of_blocks(frame: pd.DataFrame) -> pd.DataFrame:
-    """Blocks with several sets; of blocks with the same sets, one."""
-    name = np.concatenate([np.frombuffer(x, np.uint64) for x in frame["names"]])
-    node = np.concatenate([np.frombuffer(x, np.int64) for x in frame["nodes"]])
-    order = np.lexsort((node, name))
-    name, node = name[order], node[order]
-    fresh = np.concatenate([[True], (name[1:] != name[:-1]) | (node[1:] != node[:-1])])
-    name, node = name[fresh], node[fresh]
-    first = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
-    size = np.diff(np.append(first, len(name)))
-    content = np.add.reduceat(mix(node.astype(np.uint64)), first)
-    several = np.flatnonzero(size > 1)
-    _, kept = np.unique(content[several], return_index=True)
-    several = several[kept]
+    """Blocks with several sets, in pieces named by their smallest; of blocks with the same sets, one.
+
+    A hot block is named by its name, so that its runs and what lies here are one.
+    """
+    runs, frame = frame[frame["run"]], frame[~frame["run"]]
+    found = [
+        (int(mix(np.frombuffer(name, np.uint64))[0].astype(np.int64)), np.frombuffer(nodes, np.int64))
+        for name, nodes in zip(runs["names"], runs["nodes"])
+    ]
+    if len(frame):
+        name = np.concatenate([np.frombuffer(x, np.uint64) for x in frame["names"]])
+        node = np.concatenate([np.frombuffer(x, np.int64) for x in frame["nodes"]])
+        hot = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in frame["hot"]]))
+        order = np.lexsort((node, name))
+        name, node = name[order], node[order]
+        fresh = np.concatenate([[True], (name[1:] != name[:-1]) | (node[1:] != node[:-1])])
+        name, node = name[fresh], node[fresh]
+        first = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+        size = np.diff(np.append(first, len(name)))
+        content = np.add.reduceat(mix(node.astype(np.uint64)), first)
+        is_hot = np.isin(name[first], hot)
+        content[is_hot] = mix(name[first][is_hot])
+        several = np.flatnonzero((size > 1) | is_hot)
+        _, kept = np.unique(content[several], return_index=True)
+        for i in several[kept]:
+            for at in range(first[i], first[i] + size[i], RUN_NODES):
+                found.append((content[i].astype(np.int64), node[at : min(at + RUN_NODES, first[i] + size[i])]))
     return pd.DataFrame({
-        "block": content[several].astype(np.int64),
-        "nodes": pd.Series([node[first[i] : first[i] + size[i]] for i in several], dtype=object),
+        "block": np.array([block for block, _ in found], np.int64),
+        "piece": np.array([nodes[0] for _, nodes in found], np.int64),
+        "nodes": pd.Series([nodes for _, nodes in found], dtype=object),
     })
 
 
@@ -281,13 +323,13 @@ def leader_pairs(
         left = left[~near]
 
 
-def _pairs_of_blocks(percent: int, leaders: bool):
+def _pairs_of_cells(percent: int, leaders: bool):
     def pairs(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["block", "node"])
-        block, node = frame["block"].to_numpy(), frame["node"].to_numpy()
+        frame = frame.sort_values(["cell", "node"])
+        cell, node = frame["cell"].to_numpy(), frame["node"].to_numpy()
         label, size = frame["label"].to_numpy(), frame["n"].to_numpy(np.int64)
         points = np.frombuffer(b"".join(frame["counts"]), np.uint32).reshape(len(frame), -1)
-        edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+        edges = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1], [True]]))
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for x, y in zip(edges, edges[1:]):
             own = points[x:y], size[x:y], label[x:y], percent
@@ -301,6 +343,47 @@ def _pairs_of_blocks(percent: int, leaders: bool):
     return pairs
 
 
+# Cells
+
+def _cells(labelled: DataFrame, part_rows: int) -> DataFrame:
+    """(block, cell, node, label) of the blocks with several labels (components).
+
+    Any two of a block with different labels are in some cell, and a cell has at
+    most about twice `part_rows` members. Cell (p, q) has part p of the commonest
+    label and part q of the others, cell (-1 - q, r) parts q < r of the others.
+    Beside the parts but the first, the others have one label: they meet in (0, q).
+    """
+    sizes = labelled.groupBy("block", "label").agg(F.count("*").alias("n"))
+    facts = sizes.groupBy("block").agg(
+        F.count("*").alias("labels"), F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("top")
+    ).where("labels > 1")
+    parts = lambda n: F.ceil(n / F.lit(part_rows)).cast("int")
+    small = F.col("all") <= part_rows
+    facts = stored(facts.select(
+        "block", F.col("top.label").alias("common"),
+        F.when(small, 1).otherwise(parts(F.col("top.n"))).alias("common_parts"),
+        F.when(small, 1).otherwise(parts(F.col("all") - F.col("top.n"))).alias("other_parts"),
+    ), "mixed-blocks")
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    common = F.col("label") == F.col("common")
+    spread = F.xxhash64(F.lit(1), "node")
+    part = F.pmod(spread, F.when(common, F.col("common_parts")).otherwise(F.col("other_parts"))).cast("int")
+    row = lambda x, y, label: F.struct(x.alias("x"), y.alias("y"), label.alias("label"))
+    beside = F.transform(upto("common_parts"), lambda p: row(
+        p, F.col("part"), F.when(p == 0, F.col("label")).otherwise(F.bitwise_not("common"))
+    ))
+    among = F.transform(
+        F.filter(upto("other_parts"), lambda r: r != F.col("part")),
+        lambda r: row(-1 - F.least(r, "part"), F.greatest(r, "part"), F.col("label")),
+    )
+    own = F.transform(upto("other_parts"), lambda q: row(F.col("part"), q, F.col("label")))
+    dealt = (
+        labelled.join(facts.hint("merge"), "block").withColumn("part", part)
+        .select("block", "node", F.explode(F.when(common, own).otherwise(F.concat(beside, among))).alias("at"))
+    )
+    return dealt.select("block", F.xxhash64("block", "at.x", "at.y").alias("cell"), "node", "at.label")
+
+
 # The join
 
 def _verified(pairs: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -324,6 +407,7 @@ def _verified(pairs: DataFrame, members: DataFrame, shingle: int, percent: int)
 def near_duplicates(
     docs: DataFrame, shingle: int = 5, percent: int = 80,
     id_col: str = "doc_id", text_col: str = "text", bucket_entries: int = 1_000_000,
+    part_rows: int = 1024,
 ) -> DataFrame:
     """Each row's doc_id, n_shingles and component_id.
 
@@ -335,7 +419,8 @@ def near_duplicates(
     Null, empty and blank texts have the empty set, which links with nothing. A
     document with a null id gets the component of its copies, null if it has
     none, and links nothing itself. Rows with one id are judged each by its own
-    text. An empty table gives an empty table.
+    text. An empty table gives an empty table. `part_rows` bounds what is compared
+    at once (1 KB a row), not what is found.
     """
     if not 1 <= percent <= 100:
         raise ValueError("percent must be 1 to 100")
@@ -350,11 +435,11 @@ def near_duplicates(
     blocks = stored(
         _blocks(rows.where("doc_id IS NOT NULL"), shingle, percent, largest, buckets)
         .groupBy("bucket").applyInPandas(
-            lambda frame: _members_of_blocks(frame), "block long, nodes array<long>"
-        ).dropDuplicates(["block"]),
+            lambda frame: _members_of_blocks(frame), "block long, piece long, nodes array<long>"
+        ).dropDuplicates(["block", "piece"]),
         "blocks",
     )
-    entries = blocks.select("block", F.explode("nodes").alias("node"))
+    entries = stored(blocks.select("block", F.explode("nodes").alias("node")).distinct(), "entries")
     members = _members(rows, entries.select("node").distinct(), classes, shingle)
     others = F.explode(F.slice("nodes", 2, 2147483647))
     stars = stored(blocks.select(others.alias("a"), F.col("nodes")[0].alias("b")).distinct(), "stars")
@@ -365,20 +450,17 @@ def near_duplicates(
         labelled = entries.join(roots.hint("merge"), "node", "left").select(
             "block", "node", F.coalesce("root", "node").alias("label")
         )
-        mixed = (
-            labelled.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-            .where("x <> y").select("block")
-        )
-        mixed_entries = stored(labelled.join(mixed.hint("merge"), "block"), "mixed-blocks")
-        points = mixed_entries.join(members.select("node", "n", "counts"), "node")
+        cells = stored(_cells(labelled, part_rows), "cells")
+        groups = max(buckets, cells.count() // (8 * part_rows))
+        points = cells.drop("block").join(members.select("node", "n", "counts").hint("merge"), "node")
         pairs = stored(
-            points.groupBy(F.pmod("block", F.lit(buckets)).alias("bucket"))
-            .applyInPandas(_pairs_of_blocks(percent, leaders), "a long, b long").distinct()
+            points.groupBy(F.pmod("cell", F.lit(groups)).alias("bucket"))
+            .applyInPandas(_pairs_of_cells(percent, leaders), "a long, b long").distinct()
             .join(tested.hint("merge"), ["a", "b"], "left_anti"),
             "pairs",
         )
         links = links.union(_verified(pairs, members, shingle, percent))
-        tested, entries = tested.union(pairs), mixed_entries.drop("label")
+        tested, entries = tested.union(pairs), cells.select("block", "node").distinct()
         roots = stored(connected_components(links), "roots")
     named = classes.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -36,6 +36,71 @@ def test_random_copies_against_brute_force(spark, seed, size, percent):
     assert run(spark, rows, shingle=size, percent=percent) == jaccard_components(rows, size, percent)
 
 
+@pytest.mark.parametrize("seed,size,percent", [(5, 3, 80), (6, 1, 70)])
+def test_parts_of_blocks_find_what_whole_blocks_find(spark, seed, size, percent):
+    rows = copies(seed, bases=4, each=30, length=60)
+    expected = jaccard_components(rows, size, percent)
+    assert run(spark, rows, shingle=size, percent=percent, part_rows=3) == expected
+
+
+def test_cells_have_every_two_components_of_a_block_once_in_bounded_parts(spark):
+    draw = random.Random(8)
+    labels = {n: (1 if n < 300 else 2 if n < 360 else n) for n in range(400)}
+    rows = [(7, n, labels[n]) for n in labels] + [(8, n, labels[n]) for n in (1, 310, 380)]
+    rows += [(9, n, 1) for n in range(50)]
+    draw.shuffle(rows)
+    frame = spark.createDataFrame(rows, "block long, node long, label long")
+    cells = {}
+    for r in J._cells(frame, 20).collect():
+        cells.setdefault((r.block, r.cell), []).append((r.node, r.label))
+    assert {block for block, _ in cells} == {7, 8}
+    assert max(len(members) for members in cells.values()) < 80
+    met = {
+        (block, min(a, b), max(a, b))
+        for (block, _), members in cells.items() for a, x in members for b, y in members if x != y
+    }
+    assert met == {
+        (block, a, b)
+        for block, nodes in ((7, list(labels)), (8, [1, 310, 380]))
+        for a in nodes for b in nodes if a < b and labels[a] != labels[b]
+    }
+
+
+def test_runs_of_a_hot_name_and_its_bucket_are_one_block():
+    name = np.arange(1, 6, dtype=np.uint64) * np.uint64(977)
+    names = np.concatenate([np.repeat(name[:1], 500), np.repeat(name[1:], 3)])
+    nodes = np.concatenate([np.arange(500), np.tile([3, 5, 700], 4)]).astype(np.int64)
+    halves = [J._by_bucket([names[i::2]], [nodes[i::2]], 4) for i in range(2)]
+    packed = [h[~h["run"]] for h in halves]
+    assert sum(len(x) // 8 for h in packed for x in h["names"]) < 30
+    blocks = {}
+    frame = J.pd.concat(halves)
+    for _, group in frame.groupby("bucket"):
+        found = J._members_of_blocks(group)
+        for block, members in zip(found["block"], found["nodes"]):
+            blocks.setdefault(block, set()).update(members.tolist())
+    assert sorted(map(len, blocks.values()))[-1] == 500
+    assert {3, 5, 700} in blocks.values()
+
+
+def test_a_block_much_larger_than_its_parts(spark):
+    draw = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(3000):
+        mine = list(base)
+        mine[draw.randrange(120)] = f"x{i}"
+        rows.append((i, " ".join(mine)))
+    half = base[:60] + [f"y{i}" for i in range(60)]
+    for i in range(200):  # shares blocks with the others, and no links
+        mine = list(half)
+        mine[draw.randrange(120)] = f"z{i}"
+        rows.append((5000 + i, " ".join(mine)))
+    found = run(spark, rows, shingle=3, percent=90, part_rows=100)
+    assert {found[i][1] for i in range(3000)} == {0}
+    assert {found[5000 + i][1] for i in range(200)} == {5000}
+
+
 def test_short_texts_and_nulls(spark):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One"), (5, "one"), (6, "one two"), (7, "ONE\ttwo"), (8, None)]
     found = run(spark, rows, shingle=3, percent=90)
