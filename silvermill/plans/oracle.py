@@ -337,6 +337,11 @@ def all_sql() -> dict[str, str]:
                 SELECT *, row_number() OVER (PARTITION BY user_id, event_type
                     ORDER BY {PART_SEQ} DESC, event_id DESC) AS place
                 FROM events) AS ranked WHERE place = 1""",
+        "stream_by_name": f"""
+            SELECT user_id, event_type, event_id, value FROM (
+                SELECT *, row_number() OVER (PARTITION BY user_id, event_type
+                    ORDER BY {PART_SEQ} DESC, event_id DESC) AS place
+                FROM events) AS ranked WHERE place = 1""",
         "filter_clustered": """
             SELECT o_orderkey, o_custkey, o_totalprice, 'customer' AS found_by FROM orders
             WHERE o_custkey BETWEEN 20 AND 40

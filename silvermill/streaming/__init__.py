@@ -1,3 +1,4 @@
 from silvermill.streaming.ingest import ingest_available, start_ingest, stream_parts
+from silvermill.streaming.named import NamedParts, ingest_by_name
 
-__all__ = ["ingest_available", "start_ingest", "stream_parts"]
+__all__ = ["NamedParts", "ingest_available", "ingest_by_name", "start_ingest", "stream_parts"]
