@@ -7,6 +7,9 @@ the columns of one row, never from collecting a group.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from silvermill.sources.filesystem import move_folder, subfolders
@@ -59,8 +62,9 @@ def line_items_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Credits: per line item, a cast array of two and a crew array of one."""
+def credits(spark: SparkSession, sf_dir: str, part: Column | None = None) -> DataFrame:
+    """Credits: per line item, a cast array of two and a crew array of one. `part` says of
+    a line which part it goes to."""
     number = F.col("l_linenumber")
     credit = F.concat_ws("-", F.lit("c"), "orderkey", "l_linenumber", "l_partkey")
     cast = F.array(
@@ -86,11 +90,12 @@ def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("id"), F.col("l_linestatus").alias("job"),
         F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias("name"),
     ))
-    return order_lines(spark, sf_dir).select(
+    lines = order_lines(spark, sf_dir)
+    return (lines if part is None else in_parts(lines, part)).select(
         F.col("orderkey").alias("movie_id"), order_title().alias("title"),
         F.when(number.isNotNull(), F.to_json(cast)).alias("cast"),
         F.when(number.isNotNull(), F.to_json(crew)).otherwise(F.lit("[]")).alias("crew"),
-        "ship_year",
+        "ship_year", *([] if part is None else ["_part"]),
     )
 
 
@@ -104,11 +109,13 @@ def _by_priority(priority: Column, two: Column, one: Column) -> Column:
     )
 
 
-def movies(spark: SparkSession, sf_dir: str, revised: bool = False) -> DataFrame:
+def movies(
+    spark: SparkSession, sf_dir: str, revised: bool = False, part: Column | None = None
+) -> DataFrame:
     """Movies: one row per order. Low priorities lack the original title.
 
     The revised rows have the same keys, other votes and, as the priorities
-    move on by one, other lists.
+    move on by one, other lists. `part` says of an order which part it goes to.
     """
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     text = key.cast("string")
@@ -126,7 +133,8 @@ def movies(spark: SparkSession, sf_dir: str, revised: bool = False) -> DataFrame
         second = make(F.lit(None).cast("string"), key + 1_000_000)
         return _by_priority(listed, F.array(first, second), first)
 
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders")
+    return (orders if part is None else in_parts(orders, part)).select(
         key.alias("id"),
         F.concat(F.lit("Order "), text).alias("title"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("budget"),
@@ -150,45 +158,69 @@ def movies(spark: SparkSession, sf_dir: str, revised: bool = False) -> DataFrame
         lists(lambda code, number: named(number, F.lit("firm"))).alias("production_companies"),
         lists(lambda code, number: coded("iso_3166_1", code, number.cast("string"))).alias("production_countries"),
         lists(lambda code, number: coded("iso_639_1", code, number.cast("string"))).alias("spoken_languages"),
-        F.year("o_orderdate").alias("order_year"),
+        F.year("o_orderdate").alias("order_year"), *([] if part is None else ["_part"]),
     )
 
 
+#: Spark's name for the folder of the rows that have no part.
+NO_PART = "__HIVE_DEFAULT_PARTITION__"
+
+
+def in_parts(rows: DataFrame, part: Column) -> DataFrame:
+    """Rows with their part in `_part`, sorted by it in each task. A column that may be
+    NULL would be changed and sorted once more where it is written."""
+    named = F.coalesce(part, F.lit(NO_PART))
+    return rows.withColumn("_part", named).sortWithinPartitions("_part")
+
+
 def write_parts(frame: DataFrame, root: str, name: str) -> None:
     """Write a bronze table as parts named by its column `_part`, in one job.
 
-    Spark names the folders of a partitioned write `_part=...`; they are then
-    renamed to what bronze parts are called.
+    Rows that `in_parts` has sorted are written by the tasks that make them: what
+    they are made from is sorted, and their long texts are neither sorted nor
+    shuffled. Spark names the folders of a partitioned write `_part=...`; they are
+    then renamed to what bronze parts are called.
     """
     spark = frame.sparkSession
     staging = f"{root}/.{name}_parts"
-    (frame.hint("rebalance", F.col("_part"))
-     .write.partitionBy("_part").parquet(staging))
+    frame.write.option("compression", "zstd").partitionBy("_part").parquet(staging)
     for folder in subfolders(spark, staging):
         part = folder.removeprefix("_part=")
         move_folder(spark, f"{staging}/{folder}", f"{root}/{name}/{name}_part_{part}.parquet")
 
 
-def _part_of_year(year: str) -> Column:
+def _part_of_year(year: Column) -> Column:
     """Parts of 1 January 2024, one hour for each year since 1990."""
-    hour = F.lpad((F.col(year) - 1990).cast("string"), 2, "0")
+    hour = F.lpad((year - 1990).cast("string"), 2, "0")
     return F.concat(F.lit("20240101-"), hour, F.lit("0000"))
 
 
 def write_credits(spark: SparkSession, sf_dir: str, root: str) -> None:
-    frame = credits(spark, sf_dir).withColumn("_part", _part_of_year("ship_year"))
+    frame = credits(spark, sf_dir, _part_of_year(F.col("ship_year")))
     write_parts(frame.drop("ship_year"), root, "credits")
 
 
 def write_movies(spark: SparkSession, sf_dir: str, root: str) -> None:
     """A part per year of orders, and a part of the next day with all revisions."""
-    first = movies(spark, sf_dir).withColumn("_part", _part_of_year("order_year"))
-    second = movies(spark, sf_dir, revised=True).withColumn("_part", F.lit("20240102-080000"))
-    write_parts(first.unionByName(second).drop("order_year"), root, "movies")
+    def first() -> None:
+        frame = movies(spark, sf_dir, part=_part_of_year(F.year("o_orderdate")))
+        write_parts(frame.drop("order_year"), root, "movies")
+
+    def second() -> None:
+        frame = movies(spark, sf_dir, revised=True).drop("order_year")
+        frame.write.option("compression", "zstd").parquet(
+            f"{root}/movies/movies_part_20240102-080000.parquet"
+        )
+
+    with ThreadPoolExecutor(2) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(write)) for write in (first, second)]
+        for each in running:
+            each.result()
 
 
 def write_events(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Two parts a day, named for 8 and 20 o'clock."""
     half = F.when(F.hour("ts") < 12, "080000").otherwise("200000")
     part = F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("-"), half)
-    write_parts(table(spark, sf_dir, "events").withColumn("_part", part), root, "events")
+    frame = table(spark, sf_dir, "events").withColumn("_part", part)
+    write_parts(frame.hint("rebalance", F.col("_part")), root, "events")
