@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from silvermill.functions.checks import all_known
 from silvermill.operators.upsert import matching_rows, newest_with_counts, updated_rows
@@ -26,28 +26,47 @@ def newest_of_parts(
     keys: Sequence[str],
     seq: str,
     order_by: Sequence[str] = (),
+    count_extra: bool = True,
 ) -> DataFrame:
     """The newest row per key, `_rows` read for it, and `_extra`: how many of
     these came from a part that already had the key. NULL is grouped as a key.
 
     One shuffle of partly aggregated rows answers both questions. The set
     inside is one number per part and key, never more than there are parts.
+    Without `count_extra` there is no `_extra`, and no set.
     """
     rest = [c for c in df.columns if c not in keys]
     part = F.coalesce(F.col(seq), F.lit(_NO_PART))
     grouped = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(seq, *order_by)).alias("_row"),
+        _newest(df, rest, [seq, *order_by]).alias("_row"),
         F.count(F.lit(1)).alias("_rows"),
-        F.size(F.collect_set(part)).alias("_parts"),
+        *([F.size(F.collect_set(part)).alias("_parts")] if count_extra else []),
     )
     return grouped.select(
         *keys,
         *[F.col("_row").getField(c).alias(c) for c in rest],
         "_rows",
-        (F.col("_rows") - F.col("_parts")).alias("_extra"),
+        *([(F.col("_rows") - F.col("_parts")).alias("_extra")] if count_extra else []),
     )
 
 
+def _newest(df: DataFrame, rest: Sequence[str], order_by: Sequence[str]) -> Column:
+    """The greatest row by `order_by`. As the order comes first in the row, the row
+    is its own order and is shuffled once; a type without an order needs it apart."""
+    if set(order_by) <= set(df.columns) and all(_has_order(df.schema[c].dataType) for c in rest):
+        order = [c for c in dict.fromkeys(order_by) if c in rest]
+        return F.max(F.struct(*order, *[c for c in rest if c not in order]))
+    return F.max_by(F.struct(*rest), F.struct(*order_by))
+
+
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType, T.UserDefinedType))
+
+
 def part_counts(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """Per key: its first part, its last part, and in how many of the later
     parts it occurs more than once."""

@@ -45,7 +45,7 @@ class StagedBatch:
         """Write rows to the shared scratch folder, and read them from there."""
         folder = new_folder(self.spark, label)
         self.folders.append(folder)
-        rows.write.parquet(folder)
+        rows.write.option("compression", "zstd").parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
     def release(self) -> None:
@@ -121,12 +121,13 @@ def _fill(
 ) -> None:
     keys = batch.keys
     known = F.lit(True) if null_safe else all_known(keys)
-    newest = batch.keep(newest_of_parts(rows, keys, SEQ, order_by), "newest")
+    by_part = on_duplicate == "error"
+    newest = batch.keep(newest_of_parts(rows, keys, SEQ, order_by, by_part), "newest")
     facts = newest.groupBy((F.lit("") if slice_of is None else slice_of).alias("slice")).agg(
         F.sum("_rows").alias("rows"),
         F.count_if(known).alias("known"),
         F.count_if(~known).alias("unknown"),
-        F.max(F.when(known, F.col("_extra"))).alias("extra"),
+        F.max(F.when(known, F.col("_extra"))).alias("extra") if by_part else F.lit(0).alias("extra"),
     ).collect()
     batch.rows_in = sum(fact["rows"] for fact in facts)
     batch.touched = [fact["slice"] for fact in facts if fact["known"]]
@@ -134,7 +135,7 @@ def _fill(
     batch.inserts = batch.updates
     if any(fact["unknown"] for fact in facts):
         batch.unknown = batch.keep(rows.where(any_unknown(keys)), "unknown")
-    if on_duplicate == "error" and any((fact["extra"] or 0) > 0 for fact in facts):
+    if by_part and any((fact["extra"] or 0) > 0 for fact in facts):
         several = newest.where(known & (F.col("_extra") > 0)).select(*keys)
         raw = batch.keep(matching_rows(rows, several, keys, null_safe), "raw")
         if target is not None:
