@@ -109,6 +109,7 @@ def key_filter(
     facts = first.agg(
         *[f(F.col(f"`{k}`")).alias(f"{f.__name__}{i}") for i, k in enumerate(some) for f in (F.min, F.max)],
         *[F.count_if(F.col(f"`{k}`").isNull()).alias(f"null{i}") for i, k in enumerate(some)],
+        *[F.approx_count_distinct(F.col(f"`{k}`")).alias(f"about{i}") for i, k in enumerate(some)],
     ).first()
     found = None
     for i, key in enumerate(some):
@@ -116,10 +117,11 @@ def key_filter(
         if low is None:  # only nulls, or no rows
             fits = F.lit(False)
         else:
-            values = [row[0] for row in first.select(key).where(column.isNotNull()).distinct().limit(most_values + 1).collect()]
             fits = column.between(low, high)
-            if len(values) <= most_values:
-                fits = column.isin(values)
+            if facts[f"about{i}"] <= 2 * most_values:  # far more are not told apart
+                values = [row[0] for row in first.select(key).where(column.isNotNull()).distinct().limit(most_values + 1).collect()]
+                if len(values) <= most_values:
+                    fits = column.isin(values)
         if null_safe and facts[f"null{i}"]:
             fits = fits | column.isNull()
         found = fits if found is None else found & fits
@@ -151,10 +153,32 @@ def without_placeholders(
     rows: DataFrame, real: DataFrame, parents: Sequence[str], placeholder: Column
 ) -> DataFrame:
     """`rows` less the placeholder rows of those parents that `real` has."""
-    left = _with_spread(rows, parents)
+    left = _with_spread(rows.where(placeholder), parents)
     right = _right_side(real.select(*parents).distinct(), parents)
-    condition = _match(left, right, parents, null_safe=False) & placeholder
-    return left.join(right, condition, "left_anti").drop(_SPREAD)
+    condition = _match(left, right, parents, null_safe=False)
+    kept = left.join(right, condition, "left_anti").drop(_SPREAD)
+    return rows.where(~placeholder).unionByName(kept)
+
+
+def further_copies(
+    rows: DataFrame, counts: DataFrame, keys: Sequence[str], null_safe: bool = False
+) -> DataFrame:
+    """Each of `rows`, whose keys do not repeat, once less than its key's `count`."""
+    left = _with_spread(rows, keys)
+    right = _right_side(counts.where("count > 1"), keys, (F.col("count") - 1).alias("_more"))
+    joined = left.join(right, _match(left, right, keys, null_safe), "inner").select(*rows.columns, "_more")
+    tens = joined.select("*", F.explode(F.sequence(F.lit(0), F.expr("(_more - 1) div 10000"))).alias("_from"))
+    return tens.select(
+        *rows.columns,
+        F.explode(F.sequence(F.lit(1), F.least(F.lit(10000), F.expr("_more - 10000 * _from")))).alias("_copy"),
+    ).drop("_copy")
+
+
+def has_one_form(kind: T.DataType) -> bool:
+    """Whether equal values of a type are the same value, unlike 0.0 and -0.0."""
+    return isinstance(kind, (*_ORDERED, T.BooleanType, T.DecimalType, T.BinaryType)) and (
+        not isinstance(kind, T.StringType) or kind.simpleString() == "string"
+    )
 
 
 def latest_per_key(
