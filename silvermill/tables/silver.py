@@ -21,12 +21,14 @@ import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from silvermill.functions.checks import all_known
-from silvermill.operators.parts import without_replayed
+from silvermill.functions.checks import all_known, any_unknown
+from silvermill.operators.parts import newest_of_parts, without_replayed
 from silvermill.operators.upsert import (
     conform,
+    further_copies,
+    has_one_form,
     key_filter,
     matching_rows,
     rows_without,
@@ -40,6 +42,7 @@ from silvermill.sources.filesystem import (
     file_names,
     mark,
     move_file,
+    move_folder,
     subfolders,
 )
 from silvermill.sources.listing import list_objects, read_if_exists
@@ -132,6 +135,7 @@ class SilverTable:
 
     def recover(self) -> None:
         """Finish what a writer that died has begun. Every write does this first."""
+        delete_folder(self.spark, self._gaining)
         for incoming in (self._incoming, self._replacing):
             if self._complete(incoming):
                 self._swap(incoming)
@@ -189,6 +193,12 @@ class SilverTable:
         if stored is not None:
             target = stored.drop(self._slice_column(stored))
             source = conform(source, target)
+        if (
+            on_duplicate == "latest" and order_by
+            and not (sentinels or newer_only or self.cluster_by)
+            and all(has_one_form(source.schema[key].dataType) for key in self.keys)
+        ):
+            return self._apply_newest(source, stored, slices, order_by, rewrite, batch)
         staged = stage(
             source, self.keys, SEQ, on_duplicate, order_by, self.null_safe_keys,
             target, self._slice_name(slices),
@@ -206,6 +216,90 @@ class SilverTable:
             staged.release()
         return staged.rows_in
 
+    def _apply_newest(
+        self,
+        source: DataFrame,
+        stored: DataFrame | None,
+        slices: int,
+        order_by: Sequence[str],
+        rewrite: str,
+        batch: str | None,
+    ) -> int:
+        """Upsert the newest row of each key and return the rows read.
+
+        An updated row is the batch's own row. So the batch is reduced, written once
+        by the tasks that reduce it, in the folders of its slices, and these files are
+        moved into the table; of the table only rows that stay are written again.
+        """
+        column = f"{_SLICE_PREFIX}{slices}"
+        incoming = self._replacing if stored is None and self.exists() else self._incoming
+        known = F.lit(True) if self.null_safe_keys else all_known(self.keys)
+        # what all rows of the batch share is not shuffled
+        newest = newest_of_parts(source.drop(BATCH), self.keys, SEQ, order_by, count_extra=False)
+        newest = newest.withColumn(BATCH, F.lit(batch).cast("string"))
+        newest = newest.withColumn(column, self._slice_name(slices))
+        seen = Observation()
+        counted = newest.observe(
+            seen, F.sum("_rows").alias("rows"), F.count_if(~known).alias("unknown")
+        )
+        newest = counted.where(known).select(*source.columns, column)
+        self._add_files(newest, column, incoming)
+        facts = seen.get
+        touched = [
+            name.removeprefix(f"{column}=") for name in _slice_folders(self.spark, incoming)
+        ]
+        rewritten = touched
+        if stored is not None and touched:
+            updates = self.spark.read.schema(newest.schema).parquet(incoming)
+            rewritten = self._keep_others(stored, updates, touched, column, rewrite)
+        if facts["unknown"]:
+            rows = source.where(any_unknown(self.keys))
+            rows = rows.withColumn(column, self._slice_name(slices, batch))
+            self._add_files(rows.hint("rebalance", F.col(column)), column, incoming)
+        gaining = [f"{column}={name}" for name in touched if name not in rewritten]
+        for name in gaining:
+            move_folder(self.spark, f"{incoming}/{name}", f"{self._gaining}/{name}")
+        if rewritten or facts["unknown"]:
+            mark(self.spark, f"{incoming}/_SUCCESS")
+            self._swap(incoming)
+        else:
+            delete_folder(self.spark, incoming)
+        self._move_files(self._gaining, gaining)
+        delete_folder(self.spark, self._gaining)
+        self.spark.catalog.refreshByPath(self.path)
+        return facts["rows"] or 0
+
+    def _keep_others(
+        self, stored: DataFrame, updates: DataFrame, touched: list[str], column: str, rewrite: str
+    ) -> list[str]:
+        """Write the rows that stay of the slices to rewrite beside the batch's, and the
+        further copies of rows that the table has several times. Returns these slices."""
+        keys, null_safe = self.keys, self.null_safe_keys
+        target = stored.where(F.col(column).isin(touched))
+        among = target
+        if (wanted := key_filter(updates, keys, null_safe)) is not None:
+            among = target.where(wanted)
+        matched = matching_rows(among.select(*keys, column), updates, keys, null_safe)
+        counts = matched.groupBy(*keys, column).count()
+        most = dict(counts.groupBy(column).agg(F.max("count")).collect())
+        rewritten = touched if rewrite == "touched" else list(most)
+        if rewritten:
+            here = F.col(column).isin(rewritten)
+            kept = rows_without(target.where(here), updates.where(here).select(*keys), keys, null_safe)
+            self._add_files(kept.select(*updates.columns), column, self._incoming)
+        if any(n > 1 for n in most.values()):
+            copies = further_copies(updates, counts.drop(column), keys, null_safe)
+            self._add_files(copies, column, self._incoming)
+        return rewritten
+
+    def _add_files(self, rows: DataFrame, column: str, folder: str) -> None:
+        """Add rows to a folder that is not complete before it is marked so."""
+        (rows.write.mode("append")
+         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+         .options(**self._file_options())
+         .partitionBy(column)
+         .parquet(folder))
+
     def _merge(
         self,
         stored: DataFrame,
@@ -237,12 +331,14 @@ class SilverTable:
         if newer_only:
             new_seq, old_seq = F.col("_new").getField(SEQ), F.col(SEQ)
             accept = new_seq.isNull() | old_seq.isNull() | (new_seq >= old_seq)
+        old = target.where(F.col(column).isin(rewritten)).drop(column)
         rows = updated_rows(
-            target.where(F.col(column).isin(rewritten)).drop(column),
-            staged.updates.where(here), keys, null_safe, accept,
+            old, staged.updates.where(here), keys, null_safe, accept,
         ).unionByName(rows_without(staged.inserts.where(here), matched, keys, null_safe))
         if sentinels:
-            rows = self._without_placeholders(rows, sentinels)
+            # a merge keeps all keys, so those that it joins have the parents it leaves
+            both = old.select(*keys).unionByName(staged.inserts.where(here).select(*keys))
+            rows = self._without_placeholders(rows, sentinels, both)
         if staged.unknown is not None:
             rows = rows.unionByName(staged.unknown)
         if rewritten or staged.unknown is not None:
@@ -251,17 +347,18 @@ class SilverTable:
             self._write(staged.inserts.where(~here), slices, "append")
 
     def _without_placeholders(
-        self, rows: DataFrame, sentinels: dict[str, object]
+        self, rows: DataFrame, sentinels: dict[str, object], keyed: DataFrame | None = None
     ) -> DataFrame:
         """`rows` hold all rows of their parents, those of the table included,
-        so the result does not depend on which batch a real row came with."""
+        so the result does not depend on which batch a real row came with. `keyed`
+        has the same keys and is less costly to make."""
         parents = [k for k in self.keys if k not in sentinels]
         if not parents or set(self.slice_by) - set(parents):
             raise ValueError("to replace sentinel rows, slice the table by its parent key")
         placeholder = F.lit(True)
         for name, value in sentinels.items():
             placeholder = placeholder & F.col(name).eqNullSafe(F.lit(value))
-        real = rows.where(~placeholder)
+        real = (rows if keyed is None else keyed).where(~placeholder)
         return without_placeholders(rows, real, parents, placeholder)
 
     def _readable(self) -> DataFrame:
@@ -320,6 +417,10 @@ class SilverTable:
     def _replacing(self) -> str:
         return f"{self.path}/.replacing"
 
+    @property
+    def _gaining(self) -> str:
+        return f"{self.path}/.gaining"
+
     def _complete(self, incoming: str) -> bool:
         return any_match(self.spark, f"{incoming}/_SUCCESS")
 
@@ -360,17 +461,20 @@ class SilverTable:
             old = _slice_folders(self.spark, self.path) if incoming == self._replacing else folders
             self._side_by_side(lambda name: delete_folder(self.spark, f"{self.path}/{name}"), old)
             mark(self.spark, cleared)
-        self._side_by_side(
-            lambda file: move_file(self.spark, f"{incoming}/{file}", f"{self.path}/{file}"),
-            [f"{name}/{file}" for name in folders
-             for file in file_names(self.spark, f"{incoming}/{name}")],
-        )
+        self._move_files(incoming, folders)
         # _SUCCESS goes last but one, so that a swap stopped here is finished, not
         # thrown away, and what is thrown away holds no file.
         self._side_by_side(lambda name: delete_folder(self.spark, f"{incoming}/{name}"), folders)
         delete_folder(self.spark, f"{incoming}/_SUCCESS")
         delete_folder(self.spark, incoming)
 
+    def _move_files(self, incoming: str, folders: Iterable[str]) -> None:
+        self._side_by_side(
+            lambda file: move_file(self.spark, f"{incoming}/{file}", f"{self.path}/{file}"),
+            [f"{name}/{file}" for name in folders
+             for file in file_names(self.spark, f"{incoming}/{name}")],
+        )
+
     def _side_by_side(self, step: Callable[[str], None], paths: Iterable[str]) -> None:
         """The store does the work; the driver's threads only wait. The first failure ends it."""
         with ThreadPoolExecutor(self.swap_threads) as pool:
@@ -395,10 +499,6 @@ class SilverTable:
         execution splits a slice that is too large for one. `seen` gives the bounds
         to cluster by where `rows` are costly to make."""
         column = f"{_SLICE_PREFIX}{slices}"
-        blooms = {}
-        if self.key_blooms:
-            blooms = {f"parquet.bloom.filter.enabled#{key}": "true" for key in self.keys}
-            blooms["parquet.bloom.filter.adaptive.enabled"] = "true"
         dealt = rows.withColumn(column, self._slice_name(slices, batch)).hint("rebalance", F.col(column))
         if self.cluster_by:
             bounds = share_bounds(rows if seen is None else seen, self.cluster_by, self.cluster_bits)
@@ -409,7 +509,13 @@ class SilverTable:
             )
         (dealt.write.mode(mode)
          .option("partitionOverwriteMode", "static")
-         .options(**blooms)
-         .options(**self.write_options)
+         .options(**self._file_options())
          .partitionBy(column)
          .parquet(path or self.path))
+
+    def _file_options(self) -> dict[str, str]:
+        options = {"compression": "zstd"}
+        if self.key_blooms:
+            options |= {f"parquet.bloom.filter.enabled#{key}": "true" for key in self.keys}
+            options["parquet.bloom.filter.adaptive.enabled"] = "true"
+        return options | self.write_options
