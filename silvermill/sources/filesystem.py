@@ -5,7 +5,8 @@ They go through Hadoop's FileSystem, so any path that Spark can read will do.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +40,21 @@ def file_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(where) if s.isFile()]
 
 
+def total_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
+    """The size of files, given as Spark names them; each folder is listed once."""
+    by_folder: dict[str, set[str]] = {}
+    for path in paths:
+        folder, _, name = unquote(path).rpartition("/")
+        by_folder.setdefault(folder, set()).add(name)
+    found = 0
+    for folder, names in by_folder.items():
+        where, files = _open(spark, folder)
+        for status in files.listStatus(where):
+            if status.getPath().getName() in names:
+                found += status.getLen()
+    return found
+
+
 def mark(spark: SparkSession, path: str) -> None:
     """An empty file."""
     where, files = _open(spark, path)

@@ -24,6 +24,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from silvermill.functions.checks import all_known, any_unknown
+from silvermill.operators.packed import bucket_count, can_pack, newest_packed
 from silvermill.operators.parts import newest_of_parts, without_replayed
 from silvermill.operators.upsert import (
     conform,
@@ -234,8 +235,13 @@ class SilverTable:
         column = f"{_SLICE_PREFIX}{slices}"
         incoming = self._replacing if stored is None and self.exists() else self._incoming
         known = F.lit(True) if self.null_safe_keys else all_known(self.keys)
-        # what all rows of the batch share is not shuffled
-        newest = newest_of_parts(source.drop(BATCH), self.keys, SEQ, order_by, count_extra=False)
+        rows = source.drop(BATCH)  # what all rows of the batch share is not shuffled
+        if can_pack(rows, self.keys, order_by):
+            newest = newest_packed(
+                rows, self.keys, [SEQ, *order_by], self.slice_by, bucket_count(rows, slices)
+            )
+        else:
+            newest = newest_of_parts(rows, self.keys, SEQ, order_by, count_extra=False)
         newest = newest.withColumn(BATCH, F.lit(batch).cast("string"))
         newest = newest.withColumn(column, self._slice_name(slices))
         seen = Observation()
