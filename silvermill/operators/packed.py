@@ -11,6 +11,7 @@ keys of its blocks, then block after block, and holds only rows whose key comes
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -41,18 +42,18 @@ def can_pack(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> boo
     )
 
 
-def bucket_count(df: DataFrame, slices: int) -> int:
+def bucket_count(df: DataFrame, slices: int) -> int | None:
     """Buckets for what the files under `df` hold, so that each lies in one slice, or
-    holds whole ones. Without files, as many as Spark's shuffles have."""
+    holds whole ones. None without files, when nothing tells the size beforehand."""
     spark = df.sparkSession
-    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
     files = df.inputFiles()
-    least = usual
-    if files:
-        least = max(
-            -(-total_bytes(spark, files) // _BUCKET_BYTES),
-            min(usual, spark.sparkContext.defaultParallelism),
-        )
+    if not files:
+        return None
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = max(
+        -(-total_bytes(spark, files) // _BUCKET_BYTES),
+        min(usual, spark.sparkContext.defaultParallelism),
+    )
     if least >= slices:
         return -(-least // slices) * slices
     return next(n for n in range(least, slices + 1) if slices % n == 0)
@@ -90,26 +91,31 @@ def newest_packed(
 
 def _packer(n_keys: int, portion_bytes: int) -> Callable:
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _portions(batches, portion_bytes):
-            bucket = rows.column(_BUCKET).to_numpy()
-            rows = rows.drop_columns([_BUCKET])
-            places, read = _newest(rows, n_keys)
-            by_bucket = np.argsort(bucket[places], kind="stable")
-            places, read = places[by_bucket], read[by_bucket]
-            kept = _counted(rows.take(pa.array(places)), read)
-            starts = np.flatnonzero(np.diff(bucket[places], prepend=-1))
-            blocks = [
-                _block(kept.slice(start, end - start))
-                for start, end in zip(starts, [*starts[1:], len(places)], strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[places][starts], pa.int32()), pa.array(blocks, pa.binary())],
-                [_BUCKET, "block"],
-            )
+        # no name here holds a portion while the next one is gathered
+        return map(partial(_packed, n_keys=n_keys), _portions(batches, portion_bytes))
 
     return pack
 
 
+def _packed(rows: pa.Table, n_keys: int) -> pa.RecordBatch:
+    """A block per bucket of the newest rows of a portion."""
+    bucket = rows.column(_BUCKET).to_numpy()
+    rows = rows.drop_columns([_BUCKET])
+    places, read = _newest(rows, n_keys)
+    by_bucket = np.argsort(bucket[places], kind="stable")
+    places, read = places[by_bucket], read[by_bucket]
+    kept = _counted(rows.take(pa.array(places)), read)
+    starts = np.flatnonzero(np.diff(bucket[places], prepend=-1))
+    blocks = [
+        _block(kept.slice(start, end - start))
+        for start, end in zip(starts, [*starts[1:], len(places)], strict=True)
+    ]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[places][starts], pa.int32()), pa.array(blocks, pa.binary())],
+        [_BUCKET, "block"],
+    )
+
+
 def _settler(n_keys: int, names: Sequence[str]) -> Callable:
     def settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = [block for batch in batches for block in batch.column("block")]
@@ -127,7 +133,7 @@ def _settler(n_keys: int, names: Sequence[str]) -> Callable:
                 rows = rows.filter(pa.array(~here))
             yield from rows.rename_columns(names).to_batches(_MAX_BATCH)
         if held:
-            rows = pa.concat_tables(held).combine_chunks()
+            rows = _joined(held)
             places, read = _newest(rows, n_keys)
             rows = _counted(rows.take(pa.array(places)), read)
             yield from rows.rename_columns(names).to_batches(_MAX_BATCH)
@@ -139,13 +145,20 @@ def _portions(batches: Iterable[pa.RecordBatch], most_bytes: int) -> Iterator[pa
     held, size = [], 0
     for batch in batches:
         if batch.num_rows:
-            held.append(batch)
+            held.append(pa.Table.from_batches([batch]))
             size += batch.nbytes
         if size >= most_bytes:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held, size = [], 0
+            size = 0
+            yield _joined(held)
     if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+        yield _joined(held)
+
+
+def _joined(held: list[pa.Table]) -> pa.Table:
+    """One table of all that is held, which is let go."""
+    whole = pa.concat_tables(held).combine_chunks()
+    held.clear()
+    return whole
 
 
 def _counted(rows: pa.Table, read: np.ndarray) -> pa.Table:

@@ -236,10 +236,9 @@ class SilverTable:
         incoming = self._replacing if stored is None and self.exists() else self._incoming
         known = F.lit(True) if self.null_safe_keys else all_known(self.keys)
         rows = source.drop(BATCH)  # what all rows of the batch share is not shuffled
-        if can_pack(rows, self.keys, order_by):
-            newest = newest_packed(
-                rows, self.keys, [SEQ, *order_by], self.slice_by, bucket_count(rows, slices)
-            )
+        buckets = bucket_count(rows, slices) if can_pack(rows, self.keys, order_by) else None
+        if buckets:
+            newest = newest_packed(rows, self.keys, [SEQ, *order_by], self.slice_by, buckets)
         else:
             newest = newest_of_parts(rows, self.keys, SEQ, order_by, count_extra=False)
         newest = newest.withColumn(BATCH, F.lit(batch).cast("string"))

@@ -56,8 +56,10 @@ def test_rows_of_a_task_are_neither_sorted_nor_shuffled_one_by_one(spark, monkey
         raise AssertionError("rows are sorted in each task")
 
     monkeypatch.setattr("silvermill.tables.silver.newest_of_parts", aggregated)
+    df.write.parquet(f"{tmp_path}/batch")
     table = SilverTable(spark, str(tmp_path / "t"), ["k", "j"], ["k"], slices=3)
-    assert table.apply(df, seq="_seq", on_duplicate="latest", order_by=["v"]) == 4
+    batch = spark.read.parquet(f"{tmp_path}/batch")
+    assert table.apply(batch, seq="_seq", on_duplicate="latest", order_by=["v"]) == 4
     assert rows(table.read(), "k", "v") == [(None, 4), (1, 2), (2, 3)]
 
 
@@ -97,4 +99,4 @@ def test_buckets_follow_the_bytes_read(spark, tmp_path, monkeypatch):
     assert bucket_count(df, 3) == 6 and bucket_count(df, 100) == 4 and bucket_count(df, 2) == 4
     monkeypatch.setattr("silvermill.operators.packed._BUCKET_BYTES", size // 40)
     assert bucket_count(df, 4) in (40, 44)
-    assert bucket_count(spark.range(5), 4) == 4
+    assert bucket_count(spark.range(5), 4) is None
